@@ -1,0 +1,42 @@
+"""A table kept as whole Parquet snapshots, on file systems without a row-level table format."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .paths import read_appended
+
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("committed_at", T.StringType()),
+])
+
+
+class SnapshotTable:
+    """Each commit writes a new directory, then records its version: readers never see half of one."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def _location(self, version: int) -> str:
+        return f"{self.path}/snapshot={version}"
+
+    def version(self) -> int:
+        """Latest committed version; 0 before the first commit."""
+        commits = read_appended(self.spark, f"{self.path}/_commits", COMMIT_SCHEMA)
+        return commits.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def read(self) -> DataFrame:
+        version = self.version()
+        if version == 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._location(version))
+
+    def commit(self, rows: DataFrame, as_of: str) -> int:
+        version = self.version() + 1
+        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._location(version))
+        commit = self.spark.createDataFrame([(version, as_of)], COMMIT_SCHEMA).coalesce(1)
+        commit.write.mode("append").json(f"{self.path}/_commits")
+        return version
