@@ -13,10 +13,11 @@ from ..operators.merge import apply_changes, merge_changes, merge_upsert
 from ..operators.metrics import metrics_pivot, route_counts, run_metrics
 from ..plans.silver_job import refined_rows
 from ..schemas import REFINED_COLUMNS, REFINED_SCHEMA
+from ..scratch import staged
 from ..sources.journal import current_quarantine, quarantine_rows
-from ..sources.paths import spread
 from ..sources.landing import (batch_filename, envelope_text, explode_page_files, land_records,
                                pending_pages, read_landing, valid_pages)
+from ..sources.paths import spread
 from .tables import (AS_OF, CATALOGUE_SQL, LATER, MERGE_SQL, PAGE_SIZE, catalogue, clean_sql, merge_sides,
                      quoted, table)
 
@@ -116,8 +117,9 @@ def merged_table(spark, sf_dir):
 
 def silver_metrics(spark, sf_dir):
     """Two runs over the same landed pages, into an empty table and into the result of the first."""
-    checked = _checked(spark, sf_dir)
-    source = refined_rows(valid_rows(checked)).select("id", "content_hash", "ingestion_timestamp")
+    checked = staged(_checked(spark, sf_dir))
+    source = staged(
+        refined_rows(valid_rows(checked)).select("id", "content_hash", "ingestion_timestamp"))
     columns = [REFINED_SCHEMA[c] for c in source.columns]
     stored = spark.createDataFrame([], schema=type(REFINED_SCHEMA)(columns))
     runs = []

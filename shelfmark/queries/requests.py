@@ -104,7 +104,7 @@ QUERIES = {
         FROM decided d JOIN waits w ON d.page = w.page"""),
     "landing_results": (landed_pages, f"""
         WITH {REQUEST_LOG_SQL}
-        SELECT page, coalesce(landed, false) AS landed, reason,
+        SELECT page, landed, reason,
                CASE WHEN landed THEN n_records::BIGINT END AS n_records,
                CASE WHEN landed THEN n_records = 0 END AS is_empty FROM results"""),
     "landing_summary": (summary, f"""

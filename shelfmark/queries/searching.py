@@ -368,10 +368,11 @@ QUERIES = {
     "recall_at_k": (recall, f"""
         WITH {SAMPLE_SQL}, {EXACT_SQL}, {LSH_SQL}, {IVF_SQL},
         found AS (SELECT 'exact' AS engine, query_id, id FROM exact UNION ALL SELECT 'lsh', query_id, id FROM lsh
-                  UNION ALL SELECT 'ivf', query_id, id FROM ivf)
-        SELECT f.engine, count(x.id) AS hits, (SELECT count(*) FROM exact) AS truths,
-               round(hits / truths, 6) AS recall_at_k
-        FROM found f LEFT JOIN exact x ON f.query_id = x.query_id AND f.id = x.id GROUP BY f.engine"""),
+                  UNION ALL SELECT 'ivf', query_id, id FROM ivf),
+        hit AS (SELECT f.engine, count(x.id) AS hits FROM found f
+                 LEFT JOIN exact x ON f.query_id = x.query_id AND f.id = x.id GROUP BY f.engine),
+        truth AS (SELECT count(*) AS truths FROM exact)
+        SELECT engine, hits, truths, round(hits / truths, 6) AS recall_at_k FROM hit, truth"""),
     "engine_report": (trained_recall, None),
     "search_enriched": (search_enriched, f"""
         WITH {SEARCH_SQL}

@@ -171,7 +171,7 @@ log AS (
               WHEN event_type = 'purchase' AND value < 20 THEN '{"errors":[{"message":"bad query"}],"data":null}'
               WHEN event_type IN ('purchase', 'click') THEN
                 '{"data":{"Page":{"media":[{"id":' || event_id || ',"kind":"' || event_type || '"},{"id":'
-                || user_id || '}]}}}' END AS body
+                || user_id || '}]}}}' END AS body, CASE WHEN json_valid(body) THEN body END AS json
   FROM events),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY page ORDER BY ts, event_id) AS attempt,
@@ -190,13 +190,12 @@ decided AS (
          coalesce(deciding_status, final_status) AS last_status
   FROM outcomes o),
 results AS (
-  SELECT d.page, json_valid(n.body) AND json_extract(n.body, '$.data.Page.media') IS NOT NULL AS landed,
+  SELECT d.page, coalesce(json_extract(n.json, '$.data.Page.media') IS NOT NULL, false) AS landed,
          CASE WHEN d.deciding_attempt IS NULL THEN 'RetriesExhausted: Reintentos agotados: status=' || d.last_status
-              WHEN NOT json_valid(n.body) THEN 'UnreadableBody: status=' || d.last_status
-              WHEN json_type(n.body, '$.errors') = 'ARRAY'
-                THEN 'QueryError: ' || json_extract(n.body, '$.errors')::VARCHAR END AS reason,
-         CASE WHEN d.deciding_attempt IS NOT NULL AND json_valid(n.body)
-              THEN json_array_length(n.body, '$.data.Page.media') END AS n_records
+              WHEN n.json IS NULL THEN 'UnreadableBody: status=' || d.last_status
+              WHEN json_type(n.json, '$.errors') = 'ARRAY'
+                THEN 'QueryError: ' || json_extract(n.json, '$.errors')::VARCHAR END AS reason,
+         json_array_length(n.json, '$.data.Page.media') AS n_records
   FROM decided d LEFT JOIN numbered n ON n.page = d.page AND n.attempt = d.deciding_attempt
   WHERE d.outcome <> 'undecided')
 """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,3 +21,14 @@ def write_through(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     """Write `df` as a table and read it back, so a lost executor never re-runs what led to it."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """`write_through` for plans that use `df` several times and have no folder of their own.
+
+    Only a session that runs on one machine, as in tests, may do without `spark.checkpoint.dir`.
+    """
+    spark = df.sparkSession
+    local = spark.sparkContext.master.startswith("local")
+    root = scratch_root(spark, tempfile.gettempdir() if local else None)
+    return write_through(df, f"{root}/shelfmark-{uuid.uuid4().hex}")
