@@ -14,7 +14,7 @@ def new_session() -> SparkSession:
     session = (SparkSession.builder.master("local[8]").appName("shelfmark-tests")
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "8g")
-               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.shuffle.partitions", "4")
                .config("spark.sql.session.timeZone", "UTC")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")

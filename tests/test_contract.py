@@ -1,7 +1,5 @@
 import json
 
-import pytest
-
 from entries import entry, payloads
 from shelfmark.operators.contract import check_contract, rejected_rows, valid_rows
 from shelfmark.sources.journal import append_quarantine, current_quarantine, quarantine_rows, read_quarantine
@@ -47,49 +45,57 @@ def test_null_secondary_id_is_fine(spark):
     assert row["motivo_rechazo"] is None and row["id_mal"] is None
 
 
-@pytest.mark.parametrize("given, value", [
+INTEGERS = [
     (5, 5), ("5", 5), (5.0, 5), (True, 1), (" 12 ", 12), ("1_000", 1000), ("4.0", 4), ("-3", -3), (1e3, 1000),
     (2.5, None), ("2.5", None), ("many", None), ("true", None), ([1], None), ({"a": 1}, None), ("", None),
     (123456789012345678901234567890, None), (2**63 - 1, 2**63 - 1), (2**63, None), (2.00000000000001, None),
-])
-def test_integers_are_read_leniently(spark, given, value):
-    row = check_one(spark, entry(1, episodes=given))
-    assert row["episodes"] == value
-    assert (row["motivo_rechazo"] is None) == (value is not None)
-    if value is None:
-        assert row["motivo_rechazo"] == "Pydantic ValidationError: episodes: integer expected"
-
-
-@pytest.mark.parametrize("changes, named", [
+]
+WRONG_TYPES = [
     ({"format": 5}, "format"), ({"title": {"romaji": ""}}, "title_romaji"), ({"title": {}}, "title_romaji"),
     ({"title": None}, "title_romaji"), ({"genres": ["a", None]}, "genres"), ({"genres": "a"}, "genres"),
     ({"genres": {"a": 1}}, "genres"), ({"studios": {"nodes": [{"name": 5}]}}, "studios"),
     ({"studios": {"nodes": ["x"]}}, "studios"), ({"startDate": {"year": "soon"}}, "start_year"),
-])
-def test_wrong_types_name_the_field(spark, changes, named):
-    reason = check_one(spark, entry(1, **changes))["motivo_rechazo"]
-    assert reason.startswith("Pydantic ValidationError: ") and f"{named}: " in reason
-
-
-@pytest.mark.parametrize("changes, genres, studios", [
+]
+ABSENT_PARTS = [
     ({"genres": None, "studios": None}, [], []),
     ({"genres": [], "studios": {"nodes": None}}, [], []),
     ({"genres": "", "studios": {}}, [], []),
     ({"studios": {"nodes": [None, {}, {"name": None}, {"name": ""}, {"name": "A"}]}}, ["Action", "Drama"], ["A"]),
     ({"startDate": None, "endDate": None}, ["Action", "Drama"], ["Studio One"]),
-])
-def test_absent_parts_are_tolerated(spark, changes, genres, studios):
-    row = check_one(spark, entry(1, **changes))
-    assert row["motivo_rechazo"] is None
-    assert (row["genres"], row["studios"]) == (genres, studios)
-
-
-@pytest.mark.parametrize("record", [
+]
+MALFORMED = [
     "[1, 2]", '"text"', "5", "not json", entry(1, description=5), entry(1, description=["x"]),
     entry(1, title="name"), entry(1, studios=[1]), entry(1, startDate="2020"),
-])
-def test_malformed_shapes_are_quarantined(spark, record):
-    assert check_one(spark, record)["motivo_rechazo"].startswith("Malformed record: ")
+]
+
+
+def check_all(spark, records):
+    return check_contract(payloads(spark, records)).orderBy("n").collect()
+
+
+def test_integers_are_read_leniently(spark):
+    for (given, value), row in zip(INTEGERS, check_all(spark, [entry(1, episodes=g) for g, _ in INTEGERS])):
+        assert row["episodes"] == value, given
+        reason = None if value is not None else "Pydantic ValidationError: episodes: integer expected"
+        assert row["motivo_rechazo"] == reason, given
+
+
+def test_wrong_types_name_the_field(spark):
+    for (changes, named), row in zip(WRONG_TYPES, check_all(spark, [entry(1, **c) for c, _ in WRONG_TYPES])):
+        assert row["motivo_rechazo"].startswith("Pydantic ValidationError: "), changes
+        assert f"{named}: " in row["motivo_rechazo"], changes
+
+
+def test_absent_parts_are_tolerated(spark):
+    rows = check_all(spark, [entry(1, **changes) for changes, _, _ in ABSENT_PARTS])
+    for (changes, genres, studios), row in zip(ABSENT_PARTS, rows):
+        assert row["motivo_rechazo"] is None, changes
+        assert (row["genres"], row["studios"]) == (genres, studios), changes
+
+
+def test_malformed_shapes_are_quarantined(spark):
+    for record, row in zip(MALFORMED, check_all(spark, MALFORMED)):
+        assert row["motivo_rechazo"].startswith("Malformed record: "), record
 
 
 def test_all_broken_fields_are_listed(spark):

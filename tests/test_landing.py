@@ -86,12 +86,7 @@ def test_a_failed_page_does_not_stop_the_run(spark, tmp_path):
     assert open_failures(read_failures(spark, config.ledger_dir), landed_pages(spark, config)).count() == 0
 
 
-def outcome_of(spark, *steps):
-    rows = [(1, i + 1, status, wait, body) for i, (status, wait, body) in enumerate(steps)]
-    return fetch_outcomes(log(spark, rows)).first()
-
-
-@pytest.mark.parametrize("steps, outcome, attempts, wait", [
+POLICY = [
     ([(429, 7.0, None), (200, None, "{}")], "ok", 2, 7.0),
     ([(429, None, None), (200, None, "{}")], "ok", 2, 1.0),
     ([(503, None, None), (500, None, None), (200, None, "{}")], "ok", 3, 2.0 + 4.0),
@@ -102,10 +97,13 @@ def outcome_of(spark, *steps):
     ([(503, None, None)] * 4, "exhausted", 4, 2.0 + 4.0 + 8.0),
     ([(503, None, None)] * 4 + [(200, None, "{}")], "exhausted", 4, 14.0),
     ([(503, None, None)], "undecided", 1, 2.0),
-])
-def test_retry_policy(spark, steps, outcome, attempts, wait):
-    row = outcome_of(spark, *steps)
-    assert (row["outcome"], row["attempts"], row["wait_seconds"]) == (outcome, attempts, wait)
+]
+
+
+def test_retry_policy(spark):
+    steps = [(page, i + 1, *step) for page, case in enumerate(POLICY) for i, step in enumerate(case[0])]
+    rows = fetch_outcomes(log(spark, steps)).orderBy("page").collect()
+    assert [(r["outcome"], r["attempts"], r["wait_seconds"]) for r in rows] == [case[1:] for case in POLICY]
 
 
 def test_errors_are_looked_at_before_data(spark):
