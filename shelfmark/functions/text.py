@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .udfs import once
+
 # Java's \s is ASCII only; this class holds every code point Python's \s matches. Category Z is
 # looked up at once, where listing its members would test them one by one for each character.
 SPACE = r"[\p{Z}\s\x1C-\x1F\x85]"
@@ -30,8 +32,8 @@ def clean_description(df: DataFrame, raw: str, cleaned: str) -> DataFrame:
     bare = F.regexp_replace(F.coalesce(F.col(raw), F.lit("")), BREAK_TAG, " ")
     bare = F.regexp_replace(bare, OTHER_TAG, "")
     staged = df.withColumn("__bare", bare)
-    staged = staged.withColumn(
-        "__decoded", _decode_entities(F.when(F.col("__bare").contains("&"), F.col("__bare"))))
+    decode = once(_decode_entities)
+    staged = staged.withColumn("__decoded", decode(F.when(F.col("__bare").contains("&"), F.col("__bare"))))
     text = F.coalesce(F.col("__decoded"), F.col("__bare"))
     return (staged.withColumn(cleaned, F.trim(F.regexp_replace(text, f"{SPACE}+", " ")))
             .drop("__bare", "__decoded"))

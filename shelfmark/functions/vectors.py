@@ -13,6 +13,7 @@ def inner_product(left: Column, right: Column) -> Column:
 
 def l2_normalize(vector: Column) -> Column:
     """Unit vector; a zero vector stays as it is."""
+    # The norm goes in as a second array: inside the lambda it would be computed per element.
     norm = F.sqrt(inner_product(vector, vector))
-    return F.when(norm > 0, F.transform(vector, lambda x: x.cast("double") / norm)).otherwise(
-        F.transform(vector, lambda x: x.cast("double")))
+    divisors = F.array_repeat(F.when(norm > 0, norm).otherwise(F.lit(1.0)), F.size(vector))
+    return F.zip_with(vector, divisors, lambda x, n: x.cast("double") / n)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.udfs import once
+
 VECTOR = T.ArrayType(T.FloatType())
 TOKEN = r"[\p{L}\p{N}]+"
 
@@ -62,7 +64,7 @@ class HashingEmbedder:
         def scatter(slots: pa.Array) -> pa.Array:
             return list_array(_slot_vectors(slots, dim))
 
-        return scatter(token_slots(description, dim))
+        return once(scatter)(token_slots(description, dim))
 
 
 class ModelEmbedder:
@@ -84,7 +86,7 @@ class ModelEmbedder:
                 unit = (vectors / np.where(norms == 0, 1.0, norms)).astype(np.float32)
                 yield pd.Series(list(unit))
 
-        return encode(description)
+        return once(encode)(description)
 
 
 def embed_descriptions(df: DataFrame, embedder: Embedder, description: str = "description",

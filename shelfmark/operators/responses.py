@@ -68,10 +68,10 @@ def fetch_outcomes(attempts: DataFrame, max_attempts: int = 4) -> DataFrame:
         wait_seconds.alias("wait_seconds"))
 
 
-def exhausted_reason(last_status: Column, error: Column | None = None) -> Column:
+def exhausted_reason(last_status: Column) -> Column:
     # Fixed text: how a page that ran out of attempts is recorded.
     detail = F.when(last_status.isNotNull(), F.format_string("status=%d", last_status)).otherwise(
-        F.coalesce(error, F.lit("no response")) if error is not None else F.lit("no response"))
+        F.lit("no response"))
     return F.concat(F.lit("RetriesExhausted: Reintentos agotados: "), detail)
 
 
@@ -99,20 +99,17 @@ def page_results(attempts: DataFrame, outcomes: DataFrame) -> DataFrame:
 
     Bodies are fetched only for the deciding attempts, after the outcomes are known.
     """
-    decided = outcomes.filter(F.col("deciding_attempt").isNotNull()).select(
-        "page", F.col("deciding_attempt").alias("attempt"), "last_status")
-    routed = route_responses(decided.join(
-        attempts.select("page", "attempt", "body"), ["page", "attempt"], "inner"))
-    reason = (F.when(F.col("route") == QUERY_ERROR, F.concat(F.lit("QueryError: "), F.col("errors")))
+    bodies = attempts.select("page", F.col("attempt").alias("deciding_attempt"), "body")
+    decided = outcomes.filter(F.col("outcome") != UNDECIDED).join(
+        bodies, ["page", "deciding_attempt"], "left")
+    spent = F.col("outcome") == EXHAUSTED
+    reason = (F.when(spent, exhausted_reason(F.col("last_status")))
+              .when(F.col("route") == QUERY_ERROR, F.concat(F.lit("QueryError: "), F.col("errors")))
               .when(F.col("route") == UNREADABLE,
                     F.format_string("UnreadableBody: status=%d", "last_status")))
-    read = routed.select(
-        "page", (F.col("route") == PAGE).alias("landed"), reason.alias("reason"), "records",
+    return route_responses(decided).select(
+        "page", (~spent & (F.col("route") == PAGE)).alias("landed"), reason.alias("reason"), "records",
         (F.size("records") == 0).alias("is_empty"))
-    spent = outcomes.filter(F.col("outcome") == EXHAUSTED).select(
-        "page", F.lit(False).alias("landed"), exhausted_reason(F.col("last_status")).alias("reason"),
-        F.lit(None).cast("array<string>").alias("records"), F.lit(None).cast("boolean").alias("is_empty"))
-    return read.unionByName(spent)
 
 
 def landing_summary(results: DataFrame, pending: DataFrame, total_pages: int) -> DataFrame:

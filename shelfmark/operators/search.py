@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import staged
 from .embed import Embedder, embed_descriptions
 from .topk import Exact, topk
 
@@ -22,7 +23,11 @@ def enrich(matches: DataFrame, refined: DataFrame) -> DataFrame:
 
 
 def search(queries: DataFrame, vectors: DataFrame, refined: DataFrame, k: int,
-           embedder: Embedder, strategy=Exact(), **limits) -> DataFrame:
-    """`queries` holds `query_id, text`; fewer than k rows come back from a smaller corpus."""
+           embedder: Embedder, strategy=Exact(), scratch: str | None = None, **limits) -> DataFrame:
+    """`queries` holds `query_id, text`; fewer than k rows come back from a smaller corpus.
+
+    The matches are written out before the titles are fetched: two joins use them, and the
+    corpus must not be scanned for each.
+    """
     asked = embed_descriptions(queries, embedder, "text")
-    return enrich(topk(asked, vectors, k, strategy, **limits), refined)
+    return enrich(staged(topk(asked, vectors, k, strategy, **limits), scratch), refined)

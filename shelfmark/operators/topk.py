@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.udfs import once
+
 CELLS = T.ArrayType(T.LongType())
 MATCH_SCHEMA = "query_id bigint, id bigint, score double"
 SCORE_DIGITS = 9  # scores are compared at this precision, so equal vectors tie and the lower id wins
@@ -58,8 +60,8 @@ class HyperplaneCells:
     probes_once = False
 
     def __post_init__(self):
-        if not 1 <= self.bits <= 16:
-            raise ValueError("bits must lie in 1..16: the cell count per table is 2^bits")
+        if not 1 <= self.bits <= 16 or self.tables << self.bits > 1 << 20:
+            raise ValueError("bits must lie in 1..16 and tables * 2^bits within 2^20 cells")
 
     def planes(self) -> np.ndarray:
         """(tables * bits, dim) signs, each from the MD5 of its place: the same on every machine."""
@@ -79,7 +81,7 @@ class HyperplaneCells:
             pattern = above @ (1 << np.arange(bits))
             return _cell_lists(list(pattern + (np.arange(tables) << 16)))
 
-        return vectors.withColumn("cells", assign(F.col("embedding")))
+        return vectors.withColumn("cells", once(assign)(F.col("embedding")))
 
     query_cells = vector_cells
 
@@ -103,7 +105,7 @@ class CentroidCells:
             closeness = np.round(matrix_of(embedding) @ centroids.T, SCORE_DIGITS)
             return _cell_lists(list(np.argsort(-closeness, axis=1, kind="stable")[:, :n]))
 
-        return vectors.withColumn("cells", assign(F.col("embedding")))
+        return vectors.withColumn("cells", once(assign)(F.col("embedding")))
 
     def vector_cells(self, vectors: DataFrame) -> DataFrame:
         return self._nearest(vectors, 1)
@@ -287,7 +289,8 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int, strategy=Exact(), *,
         queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull()))
     asked = queries.limit(broadcast_queries + 1).toArrow()
     if len(asked) <= broadcast_queries:
-        return rank_matches(_scan(vectors, asked, k), k)
+        # At most broadcast_queries * k narrow rows, so whatever joins them may broadcast them.
+        return rank_matches(_scan(vectors, asked, k), k).hint("broadcast")
     matches = _blocks(vectors, queries, k, block_rows)
     if not strategy.probes_once:  # a vector may meet a query in several cells
         matches = matches.groupBy("query_id", "id").agg(F.max("score").alias("score"))

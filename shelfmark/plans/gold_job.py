@@ -51,14 +51,18 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
     _check_embedder(stored, embedder)
     held = stored if delta_on == "id" else current_vectors(stored)
     before = stored.count()
-    delta = embedding_delta(refined_table(spark, config).read(), held, delta_on)
-    delta = delta.select("id", "content_hash", "description")
-    scratch = f"{scratch_root(spark, config.scratch_dir)}/{run_id}/embedded_{engine}"
-    embedded = write_through(
-        embed_descriptions(delta, embedder).drop("description"), scratch)
-    added = embedded.count()
+    scratch = f"{scratch_root(spark, config.scratch_dir)}/{run_id}"
+    refined = refined_table(spark, config).read().select("id", "content_hash", "description")
+    # The keys first: with their number known, the texts are fetched by the cheaper kind of join.
+    wanted = write_through(
+        embedding_delta(refined.select("id", "content_hash"), held, delta_on).select("id"),
+        f"{scratch}/wanted_{engine}")
+    added = wanted.count()
     if added == 0:
         return spark.createDataFrame([(engine, 0, before, before)], GOLD_SCHEMA)
+    delta = refined.join(wanted, "id", "left_semi")
+    embedded = write_through(
+        embed_descriptions(delta, embedder).drop("description"), f"{scratch}/embedded_{engine}")
     strategy = _strategy(spark, config, engine, embedded, len(embedded.first()["embedding"]))
     batch = strategy.vector_cells(embedded).select(
         F.lit(engine).alias("engine"), F.lit(next_batch(stored)).cast("bigint").alias("batch_seq"),
@@ -76,4 +80,6 @@ def run_search(spark: SparkSession, config: JobConfig, queries: DataFrame, k: in
     _check_embedder(stored, embedder)
     first = stored.select(F.size("embedding")).first()
     strategy = _strategy(spark, config, engine, stored, first[0] if first else 1)
-    return search(queries, current_vectors(stored), refined_table(spark, config).read(), k, embedder, strategy)
+    # Only a store that re-embeds changed texts holds an id twice.
+    return search(queries, current_vectors(stored), refined_table(spark, config).read(), k, embedder, strategy,
+                  scratch=config.scratch_dir)

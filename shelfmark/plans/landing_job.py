@@ -26,7 +26,9 @@ def run_landing(spark: SparkSession, config: JobConfig, attempts: DataFrame, as_
     pending = write_through(
         pending_pages(landed_pages(spark, config), config.paginas), f"{scratch}/pending")
     wanted = attempts.join(pending, "page", "left_semi")
-    results = write_through(page_results(wanted, fetch_outcomes(wanted)), f"{scratch}/pages")
+    # Outcomes are narrow; once they are written out, Spark knows how to join the bodies to them.
+    outcomes = write_through(fetch_outcomes(wanted), f"{scratch}/outcomes")
+    results = write_through(page_results(wanted, outcomes), f"{scratch}/pages")
 
     envelopes = results.filter("landed").select(
         F.lit(as_of).alias("ingestion_timestamp"), F.lit(config.source).alias("source"),

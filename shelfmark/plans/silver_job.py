@@ -16,7 +16,7 @@ from ..operators.merge import apply_changes, count_changes, merge_changes
 from ..schemas import HASHED_COLUMNS, LONG, REFINED_COLUMNS, REFINED_SCHEMA, RUN_METRICS
 from ..scratch import scratch_root, write_through
 from ..sources.journal import append_quarantine, quarantine_rows
-from ..sources.landing import landing_table, read_landing, read_page_files
+from ..sources.landing import landing_table, read_landing, read_page_files, relanded_pages
 from ..sources.snapshots import SnapshotTable
 
 METRICS_SCHEMA = T.StructType([T.StructField("run", T.StringType())]
@@ -36,11 +36,13 @@ def refined_rows(valid: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *REFINED_COLUMNS, *keep)
 
 
-def landed_records(spark: SparkSession, config: JobConfig, layout: str) -> DataFrame:
+def landed_records(spark: SparkSession, config: JobConfig, layout: str, run_id: str) -> DataFrame:
     if layout == "files":
         return read_page_files(spark, config.bronze_dir)
     if layout == "table":
-        return read_landing(landing_table(spark, config.landing_dir))
+        landing = landing_table(spark, config.landing_dir)
+        scratch = scratch_root(spark, config.scratch_dir)
+        return read_landing(landing, write_through(relanded_pages(landing), f"{scratch}/{run_id}/relanded"))
     raise ValueError(f"unknown landing layout: {layout}")
 
 
@@ -81,5 +83,5 @@ def refined_table(spark: SparkSession, config: JobConfig) -> SnapshotTable:
 def run_silver(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,
                layout: str = "files") -> DataFrame:
     """Re-read everything landed and merge it; repeating a run changes nothing."""
-    records = landed_records(spark, config, layout)
+    records = landed_records(spark, config, layout, run_id)
     return refine(spark, config, records, as_of, run_id, refined_table(spark, config))

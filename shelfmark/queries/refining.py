@@ -111,7 +111,7 @@ def changes_only(spark, sf_dir):
 
 def merged_table(spark, sf_dir):
     target, source = merge_sides(spark, sf_dir)
-    return apply_changes(target, merge_changes(target, source)).select(
+    return apply_changes(target, staged(merge_changes(target, source))).select(
         "id", "status", "ingestion_timestamp", "content_hash")
 
 

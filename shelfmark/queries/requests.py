@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.responses import (fetch_outcomes, landing_summary, number_attempts, pacing_audit, page_results,
                                    route_responses)
+from ..scratch import staged
 from ..sources.journal import open_failures
 from ..sources.landing import pending_pages
 from .tables import AS_OF, REQUEST_LOG_SQL, request_log, table
@@ -29,7 +30,7 @@ def outcomes(spark, sf_dir):
 
 def _results(spark, sf_dir):
     attempts = _attempts(spark, sf_dir)
-    return page_results(attempts, fetch_outcomes(attempts))
+    return page_results(attempts, staged(fetch_outcomes(attempts)))
 
 
 def landed_pages(spark, sf_dir):

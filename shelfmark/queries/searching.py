@@ -15,6 +15,7 @@ from ..operators.metrics import gold_run_metrics
 from ..operators.search import search
 from ..operators.topk import CentroidCells, Exact, HyperplaneCells, topk
 from ..plans.report import search_report
+from ..scratch import staged
 from ..sources.paths import spread
 from ..sources.vector_store import current_vectors
 from .refining import preview_sql
@@ -176,7 +177,7 @@ def _engine_results(spark, sf_dir, strategies):
     for strategy in strategies:
         rows = topk(queries, vectors, K, strategy).withColumn("engine", F.lit(strategy.name))
         found = rows if found is None else found.unionByName(rows)
-    return recall_at_k(found, topk(queries, vectors, K))
+    return recall_at_k(found, staged(topk(queries, vectors, K)))
 
 
 def recall(spark, sf_dir):
@@ -220,7 +221,7 @@ def reported(spark, sf_dir):
 
 
 def results_checked(spark, sf_dir):
-    return check_results(_search(spark, sf_dir), _entries(spark, sf_dir), K, 0.2)
+    return check_results(staged(_search(spark, sf_dir)), _entries(spark, sf_dir), K, 0.2)
 
 
 def _refined(spark, sf_dir):
@@ -328,11 +329,11 @@ winner AS (SELECT * FROM tied ORDER BY disk_footprint_bytes, engine_order LIMIT
 
 
 def chosen(spark, sf_dir):
-    return choose_engine(_reports(spark, sf_dir))
+    return choose_engine(staged(_reports(spark, sf_dir)))
 
 
 def report_table(spark, sf_dir):
-    reports = _reports(spark, sf_dir)
+    reports = staged(_reports(spark, sf_dir))
     return engine_report_table(reports, choose_engine(reports))
 
 

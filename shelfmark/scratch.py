@@ -23,12 +23,13 @@ def write_through(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """`write_through` for plans that use `df` several times and have no folder of their own.
+def staged(df: DataFrame, root: str | None = None) -> DataFrame:
+    """`write_through` to a fresh folder, for plans that use `df` several times.
 
-    Only a session that runs on one machine, as in tests, may do without `spark.checkpoint.dir`.
+    The folder lies in `spark.checkpoint.dir`, else in `root`; only a session that runs on one
+    machine, as in tests, may do without both.
     """
     spark = df.sparkSession
-    local = spark.sparkContext.master.startswith("local")
-    root = scratch_root(spark, tempfile.gettempdir() if local else None)
-    return write_through(df, f"{root}/shelfmark-{uuid.uuid4().hex}")
+    if root is None and spark.sparkContext.master.startswith("local"):
+        root = tempfile.gettempdir()
+    return write_through(df, f"{scratch_root(spark, root)}/shelfmark-{uuid.uuid4().hex}")

@@ -99,16 +99,24 @@ def landing_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LANDING_TABLE_SCHEMA).parquet(path)
 
 
-def read_landing(landing: DataFrame) -> DataFrame:
+def relanded_pages(landing: DataFrame) -> DataFrame:
+    """Pages landed more than once, with the stamp of their newest copy; reads narrow columns only."""
+    stamp = F.struct("ingestion_timestamp", "landing_run")
+    copies = landing.groupBy("source_page").agg(
+        F.count(F.lit(1)).alias("copies"), F.max(stamp).alias("newest"))
+    return copies.filter(F.col("copies") > 1).select("source_page", "newest")
+
+
+def read_landing(landing: DataFrame, relanded: DataFrame | None = None) -> DataFrame:
     """Records of the landing table; a page landed again replaces its earlier copy.
 
-    The newest copy of each page is found on three narrow columns, so the records
-    themselves are not shuffled for it.
+    `relanded` may be `relanded_pages(landing)` already written out. It is normally tiny, and
+    once Spark knows its size the join broadcasts it and the records are not shuffled.
     """
+    relanded = relanded_pages(landing) if relanded is None else relanded
     stamp = F.struct("ingestion_timestamp", "landing_run")
-    newest = landing.groupBy("source_page").agg(F.max(stamp).alias("stamp"))
-    newest = newest.select("source_page", "stamp.*")
-    kept = landing.join(newest, ["source_page", "ingestion_timestamp", "landing_run"], "left_semi")
+    kept = landing.join(relanded, "source_page", "left").filter(
+        F.col("newest").isNull() | (stamp == F.col("newest")))
     return kept.select(
         "source_page", batch_filename(F.col("source_page")).alias("file_name"),
         "ingestion_timestamp", F.posexplode("records").alias("position", "payload"))
