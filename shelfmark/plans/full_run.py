@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import JobConfig
 from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
 from ..operators.evaluate import choose_engine
-from ..scratch import scratch_root, write_through
+from ..scratch import fresh_scratch, write_through
 from .benchmark_job import run_benchmark
 from .gold_job import run_gold, run_search
 from .landing_job import run_landing
@@ -45,7 +45,7 @@ def run_all(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,
     metrics = run_silver(spark, config, as_of, runs[0], layout).unionByName(
         run_silver(spark, config, as_of, runs[1], layout))
 
-    work = f"{scratch_root(spark, config.scratch_dir)}/{run_id}"
+    work = fresh_scratch(spark, config.scratch_dir, run_id)
     refined = refined_table(spark, config).read()
     corpus = write_through(
         embed_descriptions(refined.select("id", "description"), embedder).select("id", "embedding"),

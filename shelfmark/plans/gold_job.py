@@ -11,7 +11,7 @@ from ..operators.delta import embedding_delta
 from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
 from ..operators.search import search
 from ..operators.topk import STRATEGIES, CentroidCells, strategy_named
-from ..scratch import scratch_root, write_through
+from ..scratch import fresh_scratch, write_through
 from ..sources.paths import path_exists
 from ..sources.vector_store import append_vectors, current_vectors, next_batch, read_vectors
 from .silver_job import refined_table
@@ -51,7 +51,7 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
     _check_embedder(stored, embedder)
     held = stored if delta_on == "id" else current_vectors(stored)
     before = stored.count()
-    scratch = f"{scratch_root(spark, config.scratch_dir)}/{run_id}"
+    scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     refined = refined_table(spark, config).read().select("id", "content_hash", "description")
     # The keys first: with their number known, the texts are fetched by the cheaper kind of join.
     wanted = write_through(

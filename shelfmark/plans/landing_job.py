@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import JobConfig
 from ..operators.responses import fetch_outcomes, landing_summary, page_results
-from ..scratch import scratch_root, write_through
+from ..scratch import fresh_scratch, write_through
 from ..sources.journal import append_failures
 from ..sources.landing import landing_table, pending_pages, write_landing
 
@@ -22,7 +22,7 @@ def run_landing(spark: SparkSession, config: JobConfig, attempts: DataFrame, as_
 
     A page that failed never stops the others; pages landed before are not looked at again.
     """
-    scratch = f"{scratch_root(spark, config.scratch_dir)}/{run_id}"
+    scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     pending = write_through(
         pending_pages(landed_pages(spark, config), config.paginas), f"{scratch}/pending")
     wanted = attempts.join(pending, "page", "left_semi")

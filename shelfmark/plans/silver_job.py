@@ -14,7 +14,7 @@ from ..operators.contract import check_contract
 from ..operators.dedupe import keep_last
 from ..operators.merge import apply_changes, count_changes, merge_changes
 from ..schemas import HASHED_COLUMNS, LONG, REFINED_COLUMNS, REFINED_SCHEMA, RUN_METRICS
-from ..scratch import scratch_root, write_through
+from ..scratch import fresh_scratch, staged, write_through
 from ..sources.journal import append_quarantine, quarantine_rows
 from ..sources.landing import landing_table, read_landing, read_page_files, relanded_pages
 from ..sources.snapshots import SnapshotTable
@@ -36,13 +36,12 @@ def refined_rows(valid: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         *REFINED_COLUMNS, *keep)
 
 
-def landed_records(spark: SparkSession, config: JobConfig, layout: str, run_id: str) -> DataFrame:
+def landed_records(spark: SparkSession, config: JobConfig, layout: str) -> DataFrame:
     if layout == "files":
         return read_page_files(spark, config.bronze_dir)
     if layout == "table":
         landing = landing_table(spark, config.landing_dir)
-        scratch = scratch_root(spark, config.scratch_dir)
-        return read_landing(landing, write_through(relanded_pages(landing), f"{scratch}/{run_id}/relanded"))
+        return read_landing(landing, staged(relanded_pages(landing), config.scratch_dir))
     raise ValueError(f"unknown landing layout: {layout}")
 
 
@@ -54,7 +53,7 @@ def refine(spark: SparkSession, config: JobConfig, records: DataFrame, as_of: st
     the costly parse runs a single time and a lost executor cannot change the counts. A run
     without changes writes no new snapshot.
     """
-    scratch = f"{scratch_root(spark, config.scratch_dir)}/{run_id}"
+    scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     checked = check_contract(records, config.min_desc_len)
     checked = checked.withColumn("is_valid", F.col("motivo_rechazo").isNull())
     checked = write_through(checked, f"{scratch}/checked", ["is_valid"])
@@ -83,5 +82,5 @@ def refined_table(spark: SparkSession, config: JobConfig) -> SnapshotTable:
 def run_silver(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,
                layout: str = "files") -> DataFrame:
     """Re-read everything landed and merge it; repeating a run changes nothing."""
-    records = landed_records(spark, config, layout, run_id)
+    records = landed_records(spark, config, layout)
     return refine(spark, config, records, as_of, run_id, refined_table(spark, config))

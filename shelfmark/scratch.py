@@ -17,19 +17,24 @@ def scratch_root(spark: SparkSession, fallback: str | None = None) -> str:
     return root.rstrip("/")
 
 
+def fresh_scratch(spark: SparkSession, fallback: str | None = None, name: str = "plan") -> str:
+    """A folder no other run uses. What lies there is never read after the run that wrote it."""
+    return f"{scratch_root(spark, fallback)}/shelfmark-{name}-{uuid.uuid4().hex}"
+
+
 def write_through(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write `df` as a table and read it back, so a lost executor never re-runs what led to it."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def staged(df: DataFrame, root: str | None = None) -> DataFrame:
+def staged(df: DataFrame, fallback: str | None = None) -> DataFrame:
     """`write_through` to a fresh folder, for plans that use `df` several times.
 
-    The folder lies in `spark.checkpoint.dir`, else in `root`; only a session that runs on one
-    machine, as in tests, may do without both.
+    Only a session that runs on one machine, as in tests, may do without `spark.checkpoint.dir`
+    and `fallback`.
     """
     spark = df.sparkSession
-    if root is None and spark.sparkContext.master.startswith("local"):
-        root = tempfile.gettempdir()
-    return write_through(df, f"{scratch_root(spark, root)}/shelfmark-{uuid.uuid4().hex}")
+    if fallback is None and spark.sparkContext.master.startswith("local"):
+        fallback = tempfile.gettempdir()
+    return write_through(df, fresh_scratch(spark, fallback))

@@ -9,7 +9,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import JobConfig
 from ..plans.silver_job import REPLAY_ORDER, refine
 from ..schemas import LONG, REFINED_SCHEMA, TEXT, T
-from ..scratch import scratch_root
 from ..sources.landing import BATCH_GLOB, explode_page_files
 from ..sources.snapshots import SnapshotTable
 
@@ -28,10 +27,10 @@ def start_incremental(spark: SparkSession, config: JobConfig, as_of: str, checkp
                       max_files: int = 10_000) -> StreamingQuery:
     """Process every page file not seen before, then stop.
 
-    A batch replayed after a failure meets rows of equal hash and changes nothing. The file
+    The checkpoint belongs to the table and lies beside it. A batch replayed after a failure meets rows of equal hash and changes nothing. The file
     source does not see a path rewritten in place; use the batch job where pages are replaced.
     """
-    checkpoint = checkpoint or f"{scratch_root(spark, config.scratch_dir)}/incremental_checkpoint"
+    checkpoint = checkpoint or f"{config.silver_dir}/incremental_checkpoint"
     files = (spark.readStream.format("text").option("wholetext", True)
              .option("pathGlobFilter", BATCH_GLOB).option("maxFilesPerTrigger", max_files)
              .load(config.bronze_dir)

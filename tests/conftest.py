@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 def new_session() -> SparkSession:
-    session = (SparkSession.builder.master("local[8]").appName("shelfmark-tests")
+    session = (SparkSession.builder.master("local[4]").appName("shelfmark-tests")
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "8g")
                .config("spark.sql.shuffle.partitions", "4")
