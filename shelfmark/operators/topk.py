@@ -233,7 +233,7 @@ def _blocks(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) ->
     the strategies bound, so it may be broadcast.
     """
     v = vectors.select("id", "embedding", F.explode("cells").alias("cell"))
-    q = queries.select("query_id", "embedding", F.explode("cells").alias("cell"))
+    q = queries.select("query_id", F.col("embedding").alias("asked"), F.explode("cells").alias("cell"))
 
     def blocks_of(side: DataFrame, name: str) -> DataFrame:
         return side.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias(name))
@@ -250,14 +250,14 @@ def _blocks(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) ->
     q = (q.join(grid, "cell")
          .withColumn("q_block", spread("query_id", "q_blocks"))
          .withColumn("v_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("v_blocks") - 1)))
-         .select("cell", "v_block", "q_block", "query_id", "embedding"))
+         .select("cell", "v_block", "q_block", "query_id", "asked"))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         query_ids = right["query_id"].to_numpy()
         if len(left) == 0 or len(query_ids) == 0:
             return _Best(0, k).table(query_ids[:0])
         best = _Best(len(query_ids), k)
-        _offer_all(best, list(range(len(query_ids))), matrix_of(right["embedding"]),
+        _offer_all(best, list(range(len(query_ids))), matrix_of(right["asked"]),
                    matrix_of(left["embedding"]), left["id"].to_numpy())
         return best.table(query_ids)
 
@@ -285,8 +285,10 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int, strategy=Exact(), *,
     vectors = vectors.filter(F.col("embedding").isNotNull())
     if "cells" not in vectors.columns:
         vectors = strategy.vector_cells(vectors)
+    # Renamed columns of its own, as the queries are often rows of the very same table.
     queries = strategy.query_cells(
-        queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull()))
+        queries.select("query_id", "embedding").toDF("query_id", "embedding")
+        .filter(F.col("embedding").isNotNull()))
     asked = queries.limit(broadcast_queries + 1).toArrow()
     if len(asked) <= broadcast_queries:
         # At most broadcast_queries * k narrow rows, so whatever joins them may broadcast them.

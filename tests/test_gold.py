@@ -152,6 +152,16 @@ def test_both_ways_of_joining_give_the_same_candidates(spark, strategy):
     assert all(cells[i] & probes[q] for q, i in small)
 
 
+def test_queries_may_be_rows_of_the_corpus(spark):
+    matrix = unit_rows(60, 8, 2)
+    vectors = vector_table(spark, matrix)
+    asked = sample_queries(vectors, 12)
+    found = as_ranks(topk(asked, vectors, 3, broadcast_queries=0, block_rows=10))
+    wanted = brute_force(matrix, matrix, 3)
+    chosen = {r["query_id"] for r in asked.collect()}
+    assert found == {pair: rank for pair, rank in wanted.items() if pair[0] in chosen}
+
+
 def test_fewer_vectors_than_k_and_bad_k(spark):
     matrix = unit_rows(3, 4, 1)
     assert topk(vector_table(spark, matrix[:1], "query_id"), vector_table(spark, matrix), 10).count() == 3
