@@ -8,6 +8,7 @@ Whatever the method, a task keeps k rows per query: the pairs of a cell are neve
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,6 +64,11 @@ class HyperplaneCells:
         if not 1 <= self.bits <= 16 or self.tables << self.bits > 1 << 20:
             raise ValueError("bits must lie in 1..16 and tables * 2^bits within 2^20 cells")
 
+    @classmethod
+    def sized(cls, dim: int, rows: int) -> HyperplaneCells:
+        """More bits for a larger corpus, so that a cell stays near a few thousand vectors."""
+        return cls(dim, tables=16, bits=min(16, max(4, (rows // 4096).bit_length())))
+
     def planes(self) -> np.ndarray:
         """(tables * bits, dim) signs, each from the MD5 of its place: the same on every machine."""
         names = [f"{t}:{b}:{d}" for t in range(self.tables)
@@ -129,16 +135,22 @@ class CentroidCells:
         return cls(tuple(map(tuple, unit.tolist())), nprobe)
 
 
+def probes_for(n_cells: int) -> int:
+    return max(4, n_cells // 32)
+
+
 STRATEGIES = ("exact", "lsh", "ivf")
 
 
-def strategy_named(engine: str, vectors: DataFrame, dim: int, n_cells: int = 16):
+def strategy_named(engine: str, vectors: DataFrame, dim: int):
+    """The engine's cells for a corpus of this size; a store keeps the ones it began with."""
     if engine == "exact":
         return Exact()
     if engine == "lsh":
-        return HyperplaneCells(dim)
+        return HyperplaneCells.sized(dim, vectors.count())
     if engine == "ivf":
-        return CentroidCells.train(vectors, n_cells)
+        n_cells = min(1024, max(16, math.isqrt(vectors.count())))
+        return CentroidCells.train(vectors, n_cells, probes_for(n_cells))
     raise ValueError(f"unknown engine: {engine}")
 
 

@@ -10,7 +10,7 @@ from ..config import JobConfig
 from ..operators.delta import embedding_delta
 from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
 from ..operators.search import search
-from ..operators.topk import STRATEGIES, CentroidCells, strategy_named
+from ..operators.topk import STRATEGIES, CentroidCells, HyperplaneCells, probes_for, strategy_named
 from ..scratch import fresh_scratch, write_through
 from ..sources.paths import path_exists
 from ..sources.vector_store import append_vectors, current_vectors, next_batch, read_vectors
@@ -19,21 +19,26 @@ from .silver_job import refined_table
 GOLD_SCHEMA = "engine string, embeddings_nuevos bigint, vector_count_antes bigint, vector_count_despues bigint"
 CENTROID_SCHEMA = T.StructType([
     T.StructField("cell", T.LongType()), T.StructField("centroid", T.ArrayType(T.DoubleType()))])
+PLANES_SCHEMA = "dim int, tables int, bits int"
 
 
 def _strategy(spark: SparkSession, config: JobConfig, engine: str, vectors: DataFrame, dim: int):
-    """The engine's cells; trained centroids are kept beside the store and reused."""
+    """The engine's cells: those the store began with, else new ones, kept beside the store."""
     if engine not in STRATEGIES:
         raise ValueError(f"unknown engine: {engine}")
-    if engine != "ivf":
-        return strategy_named(engine, vectors, dim)
-    path = f"{config.gold_dir}/centroids"
-    if path_exists(spark, path):
+    path = f"{config.gold_dir}/cells/{engine}"
+    if engine == "ivf" and path_exists(spark, path):
         rows = spark.read.schema(CENTROID_SCHEMA).parquet(path).orderBy("cell").collect()
-        return CentroidCells(tuple(tuple(r["centroid"]) for r in rows))
+        return CentroidCells(tuple(tuple(r["centroid"]) for r in rows), probes_for(len(rows)))
+    if engine == "lsh" and path_exists(spark, path):
+        return HyperplaneCells(*spark.read.schema(PLANES_SCHEMA).parquet(path).first())
     strategy = strategy_named(engine, vectors, dim)
-    cells = [(i, list(c)) for i, c in enumerate(strategy.centroids)]
-    spark.createDataFrame(cells, CENTROID_SCHEMA).write.parquet(path)
+    if engine == "ivf":
+        cells = [(i, list(c)) for i, c in enumerate(strategy.centroids)]
+        spark.createDataFrame(cells, CENTROID_SCHEMA).write.parquet(path)
+    elif engine == "lsh":
+        sizes = [(strategy.dim, strategy.tables, strategy.bits)]
+        spark.createDataFrame(sizes, PLANES_SCHEMA).write.parquet(path)
     return strategy
 
 
