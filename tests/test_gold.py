@@ -71,7 +71,7 @@ def test_engines_keep_separate_stores_and_unknown_ones_fail(spark, config):
     run_gold(spark, config, "g1", "exact")
     assert run_gold(spark, config, "g2", "lsh").first()["embeddings_nuevos"] == 5
     with pytest.raises(ValueError):
-        run_gold(spark, config, "g3", "faiss")
+        run_gold(spark, config, "g3", "unknown")
     with pytest.raises(ValueError):
         run_search(spark, config, queries(spark, "x"), embedder=HashingEmbedder(64))
 
