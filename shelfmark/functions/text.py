@@ -14,6 +14,7 @@ from .udfs import once
 # Java's \s is ASCII only; this class holds every code point Python's \s matches. Category Z is
 # looked up at once, where listing its members would test them one by one for each character.
 SPACE = r"[\p{Z}\s\x1C-\x1F\x85]"
+OTHER_SPACE = r"[\p{Z}\s\x1C-\x1F\x85&&[^ ]]"  # all of them but the plain space
 BREAK_TAG = rf"(?i)<br{SPACE}*/?>"
 OTHER_TAG = r"<[^>]+>"
 
@@ -29,14 +30,16 @@ def clean_description(df: DataFrame, raw: str, cleaned: str) -> DataFrame:
     The order is part of the contract, as the content hash rests on it. Only texts holding
     an `&` travel to Python; a null or empty text becomes ''.
     """
-    bare = F.regexp_replace(F.coalesce(F.col(raw), F.lit("")), BREAK_TAG, " ")
-    bare = F.regexp_replace(bare, OTHER_TAG, "")
-    staged = df.withColumn("__bare", bare)
+    text = F.coalesce(F.col(raw), F.lit(""))
+    untagged = F.regexp_replace(F.regexp_replace(text, BREAK_TAG, " "), OTHER_TAG, "")
+    # Each rewrite is asked for only where a cheaper look says there is something to rewrite.
+    staged = df.withColumn("__bare", F.when(text.contains("<"), untagged).otherwise(text))
     decode = once(_decode_entities)
     staged = staged.withColumn("__decoded", decode(F.when(F.col("__bare").contains("&"), F.col("__bare"))))
     text = F.coalesce(F.col("__decoded"), F.col("__bare"))
-    return (staged.withColumn(cleaned, F.trim(F.regexp_replace(text, f"{SPACE}+", " ")))
-            .drop("__bare", "__decoded"))
+    loose = text.contains("  ") | text.rlike(OTHER_SPACE)
+    collapsed = F.when(loose, F.regexp_replace(text, f"{SPACE}+", " ")).otherwise(text)
+    return staged.withColumn(cleaned, F.trim(collapsed)).drop("__bare", "__decoded")
 
 
 def synopsis_preview(description: Column, max_len: int = 160, table_safe: bool = True) -> Column:
