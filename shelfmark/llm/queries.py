@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, packing, pieces, repeats, simhash
+from . import chat, katz, packing, pages, pieces, quality, repeats, secrets, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_table(spark, sf_dir, "documents"))
+
+
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.scores(_table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -84,14 +92,48 @@ FROM words LEFT JOIN kept ON words.doc_id = kept.doc_id
 """
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digests(_table(spark, sf_dir, "documents"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+OP9_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
     "op3_simhash": (op3_simhash, None),
+    "op4_quality_rules": (op4_quality_rules, None),
+    "op5_katz_scores": (op5_katz_scores, None),
     "op6_substring_dedup": (op6_substring_dedup, OP6_SQL),
+    "op7_secret_scan": (op7_secret_scan, None),
     "op8_sentencepiece": (op8_sentencepiece, None),
+    "op9_exact_topk": (op9_exact_topk, OP9_SQL),
+    "op10_html_text": (op10_html_text, None),
 }

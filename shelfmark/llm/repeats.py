@@ -20,7 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buckets_for, documents_of, slices_of, spread_of, text_bytes
+from .common import buckets_for, documents_of, free_name, slices_of, spread_of, text_bytes, utf8
 
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)  # every difference modulo 13 is one of two numbers of the cover
@@ -233,3 +233,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     kept = by_batch.cogroup(anchors.unionAll(windows).groupBy("batch")).applyInPandas(keep, kept_schema)
     unnamed = named.where("doc_id is null").mapInPandas(whole, kept_schema)
     return kept.unionAll(unnamed)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """All rows and columns of `docs`, with text cut as `remove_repeats` says; a text that loses nothing stays as it is."""
+    key, after = free_name(docs, "text_key"), free_name(docs, "after")
+    changed = (remove_repeats(docs, with_text=True).where("n_removed > 0")
+               .select("doc_id", F.xxhash64("before").alias(key), F.col("after").cast("string").alias(after))
+               .dropDuplicates(["doc_id", key]))
+    cut = docs.withColumn(key, F.xxhash64(utf8())).join(changed, ["doc_id", key], "left")
+    return cut.withColumn("text", F.coalesce(F.col(after), F.col("text"))).select(*docs.columns)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfmark.functions.udfs import once
 from shelfmark.scratch import staged
 
-from .common import documents_of
+from .common import documents_of, free_name, utf8
 from .components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
@@ -49,11 +49,12 @@ def simhash(text: bytes, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long)."""
+    """doc_id, fp (the 64 bits as a long), text_key (a hash that tells rows of one doc_id apart)."""
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([simhash(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return documents_of(docs).select("doc_id", once(F.pandas_udf(of, "long"))("text").alias("fp"))
+    return documents_of(docs).select(
+        "doc_id", once(F.pandas_udf(of, "long"))("text").alias("fp"), F.xxhash64("text").alias("text_key"))
 
 
 def _linked(a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
@@ -131,15 +132,36 @@ def links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return met.repartition("key").sortWithinPartitions("key").mapInPandas(within, "u long, v long").distinct()
 
 
+def _classes(docs: DataFrame, words: int, max_bits: int) -> DataFrame:
+    marked = staged(fingerprints(docs, words))
+    points = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null"))
+    found = components(links(points, max_bits))
+    classes = points.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return marked.join(classes, "fp", "left")
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable over links), one row per row.
 
     Null texts count as empty: fingerprint zero, linked like any other. Rows without doc_id get the component of
-    the documents with their fingerprint, or null, and link nothing. Repeated rows stay; other columns are ignored.
+    the documents with their fingerprint, or null, and link nothing. Rows of one doc_id are one document. Repeated rows
+    stay; other columns are ignored.
     """
-    marked = staged(fingerprints(docs, words))
-    points = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null"))
-    found = components(links(points, max_bits))
-    classes = points.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(classes, "fp", "left").select(
+    return _classes(docs, words, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """Of each component the document with the least doc_id, with all its columns.
+
+    Of several rows with that doc_id the least one stays, by its columns in order. Rows without doc_id belong to no component
+    and stay.
+    """
+    key = free_name(docs, "text_key")
+    first = (_classes(docs, words, max_bits).where("doc_id = component_id")
+             .select("doc_id", F.col("text_key").alias(key)).distinct())
+    keyed = docs.where(F.col("doc_id").isNotNull()).withColumn(key, F.xxhash64(utf8()))
+    others = [c for c in docs.columns if c.lower() != "doc_id"]
+    kept = (keyed.join(first, ["doc_id", key], "left_semi")
+            .groupBy("doc_id").agg(F.min(F.struct(*others)).alias(key)).select("doc_id", f"{key}.*"))
+    return kept.select(*docs.columns).unionAll(docs.where(F.col("doc_id").isNull()))
