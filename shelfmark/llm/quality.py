@@ -21,7 +21,7 @@ from .common import utf8
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 COMMON_WORDS = 24
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.33, 0.2
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.33, 0.185
 #: A language is a reference from so many words and this share of all words on; hence a thousand references at most.
 REFERENCE_WORDS, REFERENCE_SHARE = 5_000, 0.001
 PART_WORDS = 200_000
@@ -74,8 +74,9 @@ def distance(p: np.ndarray, q: np.ndarray, chance: bool) -> float:
     middle = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         divergence = sum(np.nansum(a * np.log2(a / middle)) for a in (p, q)) / 2
-    if chance:  # half of one degree of freedom per further bin, in bits; a quarter of it reaches the middle
-        divergence -= (len(p) - 1) / (8 * np.log(2)) * (1 / n + 1 / m)
+    if chance:  # 8 ln 2 n times the divergence of a sample is about chi-squared: its mean and one standard deviation
+        degrees = len(p) - 1
+        divergence -= (degrees + np.sqrt(2 * degrees)) / (8 * np.log(2)) * (1 / n + 1 / m)
     return float(np.sqrt(max(divergence, 0.0)))
 
 

@@ -144,8 +144,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int =
     """doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable over links), one row per row.
 
     Null texts count as empty: fingerprint zero, linked like any other. Rows without doc_id get the component of
-    the documents with their fingerprint, or null, and link nothing. Rows of one doc_id are one document. Repeated rows
-    stay; other columns are ignored.
+    the documents with their fingerprint, or null, and link nothing. Rows that share a doc_id each get the component of their
+    own fingerprint. Repeated rows stay; other columns are ignored.
     """
     return _classes(docs, words, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
