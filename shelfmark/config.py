@@ -9,7 +9,8 @@ from dataclasses import dataclass, fields
 
 @dataclass(frozen=True)
 class JobConfig:
-    paginas: int = 20
+    # Names and defaults of the settings. `paginas`: None means every page of the log.
+    paginas: int | None = None
     per_page: int = 50
     pausa_base: float = 1.0
     umbral_remaining: int = 10
@@ -20,6 +21,7 @@ class JobConfig:
     gold_dir: str = "gold"
     reports_dir: str = "reports"
     source: str = "catalog_api"
+    table_buckets: int = 64
     scratch_dir: str | None = None
 
     def __post_init__(self):
@@ -54,7 +56,7 @@ _ENV_NAMES = {"k": "SEARCH_K"}
 def from_args(argv: list[str] | None = None) -> JobConfig:
     parser = argparse.ArgumentParser(description="Catalogue quality and semantic search on Spark")
     for field in fields(JobConfig):
-        cast = type(field.default) if field.default is not None else str
+        cast = int if field.name == "paginas" else type(field.default) if field.default is not None else str
         from_env = os.environ.get(_ENV_NAMES.get(field.name, field.name.upper()))
         default = field.default if from_env is None else cast(from_env)
         parser.add_argument(f"--{field.name.replace('_', '-')}", type=cast, default=default)

@@ -113,7 +113,10 @@ def page_results(attempts: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def landing_summary(results: DataFrame, pending: DataFrame, total_pages: int) -> DataFrame:
-    """The four counts of a landing run; `pending` are the pages it had to look at."""
+    """The counts of a landing run; `pending` are the pages it had to look at.
+
+    Pages asked for are skipped, written, failed, or not decided by the log: the last four add up to the first.
+    """
     open_pages = pending.agg(F.count(F.lit(1))).scalar()
     counted = results.agg(
         F.count_if(F.col("landed")).alias("paginas_escritas"),
@@ -121,7 +124,8 @@ def landing_summary(results: DataFrame, pending: DataFrame, total_pages: int) ->
     return counted.select(
         F.lit(total_pages).cast("bigint").alias("paginas_solicitadas"),
         (F.lit(total_pages) - open_pages).cast("bigint").alias("paginas_saltadas_checkpoint"),
-        "paginas_escritas", "paginas_fallidas")
+        "paginas_escritas", "paginas_fallidas",
+        (open_pages - F.col("paginas_escritas") - F.col("paginas_fallidas")).alias("paginas_sin_decidir"))
 
 
 def previous_time(df: DataFrame, key: str, time: str, slice_width: int) -> DataFrame:

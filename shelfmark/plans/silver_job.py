@@ -12,12 +12,12 @@ from ..config import JobConfig
 from ..functions.hashing import content_hash
 from ..operators.contract import check_contract
 from ..operators.dedupe import keep_last
-from ..operators.merge import apply_changes, count_changes, merge_changes
+from ..operators.merge import count_changes, merge_changes
 from ..schemas import HASHED_COLUMNS, LONG, REFINED_COLUMNS, REFINED_SCHEMA, RUN_METRICS
-from ..scratch import fresh_scratch, staged, write_through
-from ..sources.journal import append_quarantine, quarantine_rows
+from ..scratch import drop_scratch, fresh_scratch, staged, write_through
+from ..sources.buckets import BucketTable
+from ..sources.journal import quarantine_rows, write_quarantine
 from ..sources.landing import landing_table, read_landing, read_page_files, relanded_pages
-from ..sources.snapshots import SnapshotTable
 
 METRICS_SCHEMA = T.StructType([T.StructField("run", T.StringType())]
                               + [T.StructField(m, LONG) for m in RUN_METRICS])
@@ -46,37 +46,38 @@ def landed_records(spark: SparkSession, config: JobConfig, layout: str) -> DataF
 
 
 def refine(spark: SparkSession, config: JobConfig, records: DataFrame, as_of: str, run_id: str,
-           table: SnapshotTable, order: Sequence[str] = ()) -> DataFrame:
+           table: BucketTable, order: Sequence[str] = ()) -> DataFrame:
     """Merge `records` into `table`; returns the run's counters as one row.
 
     The checked rows are written once, split by verdict, and every later step reads that copy:
-    the costly parse runs a single time and a lost executor cannot change the counts. A run
-    without changes writes no new snapshot.
+    the costly parse runs a single time and a lost executor cannot change the counts. Only rejects keep their
+    payload there. Only buckets of the table that change are written.
     """
     scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     checked = check_contract(records, config.min_desc_len)
-    checked = checked.withColumn("is_valid", F.col("motivo_rechazo").isNull())
+    checked = checked.withColumn("is_valid", F.col("motivo_rechazo").isNull()).withColumn(
+        "payload", F.when(F.col("motivo_rechazo").isNotNull(), F.col("payload")))
     checked = write_through(checked, f"{scratch}/checked", ["is_valid"])
     verdicts = {row["is_valid"]: row["count"] for row in checked.groupBy("is_valid").count().collect()}
     valid_count, rejected_count = verdicts.get(True, 0), verdicts.get(False, 0)
     if rejected_count:
         rejected = checked.filter(~F.col("is_valid"))
-        append_quarantine(quarantine_rows(rejected, as_of, run_id), config.quarantine_dir)
+        write_quarantine(quarantine_rows(rejected, as_of, run_id), config.quarantine_dir)
 
     target, inserted, updated = table.read(), 0, 0
     if valid_count:
         source = refined_rows(checked.filter("is_valid"), keep=order)
         changes = write_through(merge_changes(target, source, order=order), f"{scratch}/changes")
         inserted, updated = count_changes(changes).first()
-        if not changes.isEmpty() or table.version() == 0:
-            table.commit(apply_changes(target, changes), as_of)
-            target = table.read()
+        table.apply(changes, scratch)
+        target = table.read()
     counters = (valid_count + rejected_count, valid_count, rejected_count, inserted, updated, target.count())
+    drop_scratch(spark, scratch)
     return spark.createDataFrame([(run_id, *counters)], METRICS_SCHEMA)
 
 
-def refined_table(spark: SparkSession, config: JobConfig) -> SnapshotTable:
-    return SnapshotTable(spark, config.table_dir, REFINED_SCHEMA)
+def refined_table(spark: SparkSession, config: JobConfig) -> BucketTable:
+    return BucketTable(spark, config.table_dir, REFINED_SCHEMA, buckets=config.table_buckets)
 
 
 def run_silver(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,

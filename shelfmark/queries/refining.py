@@ -159,8 +159,9 @@ def _landed(spark, sf_dir):
 
 def land_envelope(spark, sf_dir):
     pages = _landed(spark, sf_dir)
-    text = envelope_text(F.col("ingestion_timestamp"), F.col("source"), F.col("source_page"), F.col("records"))
-    return pages.select(batch_filename(F.col("source_page")).alias("file_name"), "source_page",
+    text = envelope_text(F.col("ingestion_timestamp"), F.col("source"), F.col("source_page"), F.col("records"),
+                         F.col("first_position"))
+    return pages.select(batch_filename(F.col("source_page"), F.col("first_position")).alias("file_name"), "source_page",
                         text.alias("envelope"))
 
 

@@ -113,7 +113,8 @@ QUERIES = {
         SELECT (SELECT max(user_id) + 1 FROM events) AS paginas_solicitadas,
                (SELECT max(user_id) + 1 FROM events) - (SELECT count(*) FROM pending) AS paginas_saltadas_checkpoint,
                count(*) FILTER (reason IS NULL) AS paginas_escritas,
-               count(*) FILTER (reason IS NOT NULL) AS paginas_fallidas
+               count(*) FILTER (reason IS NOT NULL) AS paginas_fallidas,
+               (SELECT count(*) FROM pending) - count(*) AS paginas_sin_decidir
         FROM results WHERE page IN (SELECT page FROM pending)"""),
     "failed_ledger": (_ledger, f"WITH {REQUEST_LOG_SQL} {_LEDGER_SQL}"),
     "open_failures": (still_open, f"""

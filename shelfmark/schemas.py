@@ -39,11 +39,13 @@ REFINED_COLUMNS = REFINED_SCHEMA.fieldNames()
 # The hash covers every business column: all but the arrival time and itself.
 HASHED_COLUMNS = [c for c in REFINED_COLUMNS if c not in ("ingestion_timestamp", "content_hash")]
 
-# One landed page. `records` keeps each record as its own JSON text.
+# One landed page, or one part of a large page. `records` keeps each record as its own JSON text;
+# `first_position` is the place in the page of the first of them (absent: 0).
 LANDING_SCHEMA = T.StructType([
     T.StructField("ingestion_timestamp", TEXT),
     T.StructField("source", TEXT),
     T.StructField("source_page", LONG),
+    T.StructField("first_position", LONG),
     T.StructField("records", TEXTS),
 ])
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -10,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named in `spark.checkpoint.dir`; `fallback` only where that is unset."""
+    """The shared folder named in `spark.checkpoint.dir`; where that is unset `fallback`, else a folder of the warehouse.
+
+    The warehouse is shared too, wherever the session runs.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not root:
-        raise ValueError("set spark.checkpoint.dir, or pass a scratch folder every executor can reach")
-    return root.rstrip("/")
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def fresh_scratch(spark: SparkSession, fallback: str | None = None, name: str = "plan") -> str:
@@ -29,12 +29,19 @@ def write_through(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def staged(df: DataFrame, fallback: str | None = None) -> DataFrame:
-    """`write_through` to a fresh folder, for plans that use `df` several times.
+    """`write_through` to a fresh folder, for plans that use `df` several times."""
+    return write_through(df, fresh_scratch(df.sparkSession, fallback))
 
-    Only a session that runs on one machine, as in tests, may do without `spark.checkpoint.dir`
-    and `fallback`.
-    """
-    spark = df.sparkSession
-    if fallback is None and spark.sparkContext.master.startswith("local"):
-        fallback = tempfile.gettempdir()
-    return write_through(df, fresh_scratch(spark, fallback))
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object for `path`: whatever Spark can read and write."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder of `fresh_scratch`, for jobs whose results do not read it any more."""
+    if "/shelfmark-" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    system, place = file_system(spark, path)
+    system.delete(place, True)

@@ -17,8 +17,10 @@ def quarantine_rows(rejected: DataFrame, as_of: str, run_id: str, payload: str =
         F.lit(as_of).alias("quarantined_at"), F.lit(run_id).alias("run_id"))
 
 
-def append_quarantine(rows: DataFrame, path: str) -> None:
-    rows.select(*QUARANTINE_SCHEMA.fieldNames()).write.mode("append").json(path)
+def write_quarantine(rows: DataFrame, path: str) -> None:
+    """Rejects of one run, in a folder of its own: a run done again replaces what it wrote before."""
+    (rows.select(*QUARANTINE_SCHEMA.fieldNames()).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").json(path))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

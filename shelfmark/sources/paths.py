@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import file_system
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """One request to the file system; nothing is listed."""
+    system, place = file_system(spark, path)
+    return system.exists(place)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """One small file, complete or not there: written beside its place, then renamed."""
+    system, place = file_system(spark, path)
+    _, draft = file_system(spark, f"{path}.tmp")
+    stream = system.create(draft, True)
     try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    system.delete(place, False)
+    if not system.rename(draft, place):
+        raise OSError(f"could not rename {path}.tmp")
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
@@ -23,21 +34,9 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-SMALL_INPUT_PER_CORE = 128 * 1024 * 1024
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan out to all cores before heavy per-row work.
-
-    A table in fewer files than cores may sit in one row group, hence one task. Only inputs
-    proven small are dealt out; a large table has files enough and is left as it is.
-    """
-    spark = df.sparkSession
-    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return df.repartition(cores) if size < cores * SMALL_INPUT_PER_CORE else df
+    """Deal the rows of a scan out evenly before heavy per-row work, whatever files they came in."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import JobConfig
 from ..plans.silver_job import REPLAY_ORDER, refine
 from ..schemas import LONG, REFINED_SCHEMA, TEXT, T
+from ..sources.buckets import BucketTable
 from ..sources.landing import BATCH_GLOB, explode_page_files
-from ..sources.snapshots import SnapshotTable
 
 # Incremental runs see only new files, so the table remembers where each row came from: a page
 # file that arrives late must not undo a later one.
@@ -19,16 +19,17 @@ ORDERED_SCHEMA = T.StructType([
     T.StructField("source_page", LONG), T.StructField("file_name", TEXT), T.StructField("position", LONG)])
 
 
-def incremental_table(spark: SparkSession, config: JobConfig) -> SnapshotTable:
-    return SnapshotTable(spark, f"{config.table_dir}_incremental", ORDERED_SCHEMA)
+def incremental_table(spark: SparkSession, config: JobConfig) -> BucketTable:
+    return BucketTable(spark, f"{config.table_dir}_incremental", ORDERED_SCHEMA, buckets=config.table_buckets)
 
 
 def start_incremental(spark: SparkSession, config: JobConfig, as_of: str, checkpoint: str | None = None,
                       max_files: int = 10_000) -> StreamingQuery:
     """Process every page file not seen before, then stop.
 
-    The checkpoint belongs to the table and lies beside it. A batch replayed after a failure meets rows of equal hash and changes nothing. The file
-    source does not see a path rewritten in place; use the batch job where pages are replaced.
+    The checkpoint belongs to the table and lies beside it. A batch replayed after a failure meets rows of equal hash,
+    changes nothing and replaces its own rejects. The file source does not see a path rewritten in place; use the
+    batch job where pages are replaced.
     """
     checkpoint = checkpoint or f"{config.silver_dir}/incremental_checkpoint"
     files = (spark.readStream.format("text").option("wholetext", True)

@@ -2,7 +2,7 @@ import json
 
 from entries import entry, payloads
 from shelfmark.operators.contract import check_contract, rejected_rows, valid_rows
-from shelfmark.sources.journal import append_quarantine, current_quarantine, quarantine_rows, read_quarantine
+from shelfmark.sources.journal import write_quarantine, current_quarantine, quarantine_rows, read_quarantine
 
 
 def check_one(spark, record, stamp="2024-05-01T10:00:00+00:00"):
@@ -22,7 +22,7 @@ def test_missing_id_is_quarantined_with_its_payload(spark, tmp_path):
     record = entry(1)
     del record["id"]
     checked = check_contract(payloads(spark, [record]))
-    append_quarantine(quarantine_rows(rejected_rows(checked), "now", "run"), str(tmp_path / "q"))
+    write_quarantine(quarantine_rows(rejected_rows(checked), "now", "run"), str(tmp_path / "q"))
     (row,) = read_quarantine(spark, str(tmp_path / "q")).collect()
     assert "id" in row["motivo_rechazo"] and row["motivo_rechazo"].startswith("Pydantic ValidationError: ")
     assert json.loads(row["payload_original"]) == record
@@ -107,7 +107,7 @@ def test_all_broken_fields_are_listed(spark):
 def test_current_quarantine_has_one_row_per_payload(spark, tmp_path):
     rejected = rejected_rows(check_contract(payloads(spark, [entry(1, description=""), entry(2, description="")])))
     for run in ("run_1", "run_2"):
-        append_quarantine(quarantine_rows(rejected, f"at {run}", run), str(tmp_path / "q"))
+        write_quarantine(quarantine_rows(rejected, f"at {run}", run), str(tmp_path / "q"))
     journal = read_quarantine(spark, str(tmp_path / "q"))
     assert journal.count() == 4
     current = current_quarantine(journal).collect()

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from entries import LOG_SCHEMA, entry, page_body, page_name, write_page
 from shelfmark.config import JobConfig, from_args
 from shelfmark.operators.responses import fetch_outcomes, pacing_audit, previous_time, route_responses
-from shelfmark.plans.landing_job import landed_pages, run_landing
-from shelfmark.plans.silver_job import run_silver
+from shelfmark.plans.landing_job import audit_pacing, land, landed_pages, run_landing
+from shelfmark.plans.silver_job import refined_table, run_silver
 from shelfmark.sources.journal import open_failures, read_failures
-from shelfmark.sources.landing import (envelope_text, land_records, page_files, pending_pages, read_page_files,
-                                       valid_pages)
+from shelfmark.sources.landing import (batch_filename, envelope_text, land_records, landing_table, page_files,
+                                       pending_pages, read_landing, read_page_files, valid_pages)
 
 
 def config_in(tmp_path, **changes):
@@ -51,14 +51,58 @@ def test_envelopes_are_whole_and_large_pages_come_in_parts(spark):
         [(1, i, json.dumps({"id": i})) for i in range(5)] + [(2, 0, "{}")],
         "source_page long, position long, payload string")
     landed = land_records(records, "now", "src", max_records=2)
-    rows = {(r["source_page"], r["part"]): r["records"] for r in landed.collect()}
-    assert rows == {(1, 0): ['{"id": 0}', '{"id": 1}'], (1, 1): ['{"id": 2}', '{"id": 3}'],
-                    (1, 2): ['{"id": 4}'], (2, 0): ["{}"]}
+    rows = {(r["source_page"], r["first_position"]): r["records"] for r in landed.collect()}
+    assert rows == {(1, 0): ['{"id": 0}', '{"id": 1}'], (1, 2): ['{"id": 2}', '{"id": 3}'],
+                    (1, 4): ['{"id": 4}'], (2, 0): ["{}"]}
     text = landed.filter("source_page = 2").select(envelope_text(
         F.col("ingestion_timestamp"), F.col("source"), F.col("source_page"), F.col("records"))).first()[0]
     assert json.loads(text) == {"ingestion_timestamp": "now", "source": "src", "source_page": 2, "records": [{}]}
 
 
+def test_a_page_in_parts_keeps_its_order(spark, tmp_path):
+    """Id 7 stands at positions 30 and 55 of 60: the later one wins, from the table and from files."""
+    ids = [7 if i in (30, 55) else 100 + i for i in range(60)]
+    records = spark.createDataFrame([(1, i, json.dumps(entry(n, episodes=i))) for i, n in enumerate(ids)],
+                                    "source_page long, position long, payload string")
+    config = config_in(tmp_path)
+    land(spark, config, records, "t1", "a")
+    assert landing_table(spark, config.landing_dir).count() == 2
+    placed = read_landing(landing_table(spark, config.landing_dir))
+    assert sorted(r["position"] for r in placed.collect()) == list(range(60))
+    assert placed.select("file_name").distinct().count() == 2
+    run_silver(spark, config, "t2", "b", layout="table")
+    assert refined_table(spark, config).read().filter("id = 7").first()["episodes"] == 55
+
+    files = land_records(records, "t1", "src").select(
+        batch_filename(F.col("source_page"), F.col("first_position")).alias("name"),
+        envelope_text(F.col("ingestion_timestamp"), F.col("source"), F.col("source_page"), F.col("records"),
+                      F.col("first_position")).alias("text")).collect()
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for row in files:
+        (folder / row["name"]).write_text(row["text"])
+    assert sorted(r["name"] for r in files) == [page_name(1), "anime_catalog_batch_0001_from_000000050.json"]
+    again = read_page_files(spark, str(folder))
+    assert sorted((r["position"], json.loads(r["payload"])["id"]) for r in again.collect()) == list(enumerate(ids))
+    assert [r["page"] for r in valid_pages(page_files(spark, str(folder))).collect()] == [1]
+    (folder / files[1]["name"]).write_text('{"records": [')
+    assert valid_pages(page_files(spark, str(folder))).count() == 0
+
+
+def test_every_page_of_the_log_is_landed_and_counted(spark, tmp_path):
+    config = config_in(tmp_path)
+    bodies = [(p, 1, 200, None, page_body(p, 60 if p == 3 else 1)) for p in range(1, 31)]
+    undecided = [(40, 1, 503, None, None), (41, 1, None, None, None)]
+    failed = [(50, i, 500, None, None) for i in range(1, 5)]
+    run_landing(spark, config, log(spark, bodies[:4]), "t1", "a")
+    counts = run_landing(spark, config, log(spark, bodies + undecided + failed), "t2", "b").first().asDict()
+    assert counts == {"paginas_solicitadas": 33, "paginas_saltadas_checkpoint": 4, "paginas_escritas": 26,
+                      "paginas_fallidas": 1, "paginas_sin_decidir": 2}
+    assert landed_pages(spark, config).count() == 30
+    placed = read_landing(landing_table(spark, config.landing_dir)).filter("source_page = 3")
+    assert sorted(r["position"] for r in placed.collect()) == list(range(60))
+
+
 def test_landing_skips_done_pages(spark, tmp_path):
     config = config_in(tmp_path, paginas=20)
     bodies = [(p, 1, 200, None, page_body(p, 1)) for p in range(1, 21)]
@@ -66,7 +110,7 @@ def test_landing_skips_done_pages(spark, tmp_path):
     assert landed_pages(spark, config).count() == 5
     counts = run_landing(spark, config, log(spark, bodies), "t2", "b").first().asDict()
     assert counts == {"paginas_solicitadas": 20, "paginas_saltadas_checkpoint": 5,
-                      "paginas_escritas": 15, "paginas_fallidas": 0}
+                      "paginas_escritas": 15, "paginas_fallidas": 0, "paginas_sin_decidir": 0}
     assert landed_pages(spark, config).count() == 20
     metrics = run_silver(spark, config, "t3", "c", layout="table").first()
     assert (metrics["filas_leidas"], metrics["filas_nuevas"]) == (20, 20)
@@ -145,5 +189,18 @@ def test_config_prefers_arguments_then_environment(monkeypatch):
     config = from_args(["--min-desc-len", "10"])
     assert (config.paginas, config.k, config.min_desc_len, config.per_page) == (7, 3, 10, 50)
     assert from_args(["--k", "9"]).k == 9
+    monkeypatch.delenv("PAGINAS")
+    assert from_args([]).paginas is None
+
+
+def test_settings_of_the_pacing_act(spark):
+    rows = [("c", 0, 3, 9_000_000), ("c", 1_500_000, 7, 9_000_000)]
+    requests = spark.createDataFrame(rows, "client string, ts_micros long, remaining long, reset_micros long")
+    audit = audit_pacing(JobConfig(pausa_base=2.0, umbral_remaining=5), requests).orderBy("ts_micros").collect()
+    assert [r["owed_pause"] for r in audit] == [0.0, 0.5]
+    assert [r["brake_seconds"] for r in audit] == [9.0, 0.0]
+
+
+def test_settings_are_checked():
     with pytest.raises(ValueError):
         JobConfig(k=0)

@@ -1,4 +1,7 @@
+from pathlib import Path
+
 import pytest
+from pyspark.errors import PySparkException
 
 from entries import entry, write_page
 from shelfmark.config import JobConfig
@@ -30,7 +33,35 @@ def test_second_run_changes_nothing(spark, config):
     assert counters(first) == (5, 5, 0, 5, 0, 5)
     assert counters(second) == (5, 5, 0, 0, 0, 5)
     assert check_silver_idempotent(first.unionByName(second), "a", "b").first()["passed"]
-    assert refined_table(spark, config).version() == 1
+
+
+def files_of(config):
+    return {str(p): p.stat().st_mtime_ns for p in Path(config.table_dir).rglob("part-*.parquet")}
+
+
+def test_a_change_leaves_files_of_other_buckets_alone(spark, config):
+    write_page(config.bronze_dir, 1, [entry(100 + i) for i in range(40)])
+    run(spark, config, "a")
+    before = files_of(config)
+    assert len({Path(p).parent for p in before if "bucket=" in p}) > 10
+    assert counters(run(spark, config, "b"))[3:] == (0, 0, 40) and files_of(config) == before
+    write_page(config.bronze_dir, 1, [entry(100 + i, episodes=99 if i == 7 else 12) for i in range(40)])
+    assert counters(run(spark, config, "c"))[3:] == (0, 1, 40)
+    after = files_of(config)
+    gone = set(before) - set(after)
+    assert len({Path(p).parent for p in gone}) == 1
+    assert all(after[p] == before[p] for p in before if p not in gone)
+    assert {r["episodes"] for r in refined_table(spark, config).read().filter("id = 107").collect()} == {99}
+    assert refined_table(spark, config).read().count() == 40
+
+
+def test_a_run_done_again_replaces_its_rejects(spark, config):
+    write_page(config.bronze_dir, 1, [entry(1), entry(2, description="short")])
+    for _ in range(2):
+        run(spark, config, "same")
+    assert read_quarantine(spark, config.quarantine_dir).count() == 1
+    run(spark, config, "other")
+    assert read_quarantine(spark, config.quarantine_dir).count() == 2
 
 
 def test_hash_is_stable_and_ignores_arrival(spark, config):
@@ -93,5 +124,5 @@ def test_merge_forms_agree(spark):
 
 def test_native_merge_needs_a_table_format(spark):
     spark.createDataFrame([(1, "a", "t", "h")], ROWS).createOrReplaceTempView("plain_rows")
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="MERGE|table|plain_rows"):
         merge_into_table(spark, "plain_rows", spark.table("plain_rows"))
