@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import JobConfig
-from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
+from ..operators.embed import Embedder, HashingEmbedder
 from ..operators.evaluate import choose_engine
 from ..scratch import fresh_scratch, write_through
+from ..sources.vector_store import current_vectors, read_vectors, superseded
 from .benchmark_job import run_benchmark
 from .gold_job import run_gold, run_search
 from .landing_job import run_landing
 from .report import (counts_markdown, engines_markdown, examples_report, full_report, search_markdown,
                      write_report)
-from .silver_job import refined_table, run_silver
+from .silver_job import run_silver
 
 # The example queries of the extended report; the first also heads the main one.
 EXAMPLE_QUERIES = [
@@ -30,11 +33,12 @@ EXAMPLE_QUERIES = [
 
 
 def run_all(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,
-            attempts: DataFrame | None = None, embedder: Embedder | None = None) -> dict[str, str]:
+            attempts: DataFrame | None = None, embedder: Embedder | None = None,
+            examples: Sequence[str] = tuple(EXAMPLE_QUERIES)) -> dict[str, str]:
     """Run every stage and write both reports; returns their texts by file name.
 
     With `attempts` (a request log) pages are landed first and read from the landing table;
-    without it the page files already in `bronze_dir` are read.
+    without it the page files already in `bronze_dir` are read. The corpus is embedded once.
     """
     embedder = embedder or HashingEmbedder()
     layout = "files"
@@ -46,16 +50,17 @@ def run_all(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,
         run_silver(spark, config, as_of, runs[1], layout))
 
     work = fresh_scratch(spark, config.scratch_dir, run_id)
-    refined = refined_table(spark, config).read()
-    corpus = write_through(
-        embed_descriptions(refined.select("id", "description"), embedder).select("id", "embedding"),
-        f"{work}/corpus")
+    # Every engine's store starts from the vectors of the exact one, which needs no index.
+    run_gold(spark, config, run_id, "exact", embedder)
+    exact = read_vectors(spark, config.vectors_dir, "exact")
+    corpus = current_vectors(exact, write_through(superseded(exact), f"{work}/superseded")).select("id", "embedding")
     reports = write_through(run_benchmark(spark, corpus, config.k, f"{work}/benchmark"), f"{work}/reports")
     chosen = choose_engine(reports)
     engine, justification = chosen.first()
 
-    run_gold(spark, config, run_id, engine, embedder)
-    numbered = list(enumerate(EXAMPLE_QUERIES))
+    if engine != "exact":
+        run_gold(spark, config, run_id, engine, embedder, embedded_by="exact")
+    numbered = list(enumerate(examples))
     queries = spark.createDataFrame(numbered, "query_id bigint, text string")
     results = write_through(
         run_search(spark, config, queries, config.k, engine, embedder), f"{work}/search")

@@ -11,9 +11,9 @@ from ..operators.delta import embedding_delta
 from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
 from ..operators.search import search
 from ..operators.topk import STRATEGIES, CentroidCells, HyperplaneCells, probes_for, strategy_named
-from ..scratch import fresh_scratch, write_through
+from ..scratch import fresh_scratch, staged, write_through
 from ..sources.paths import path_exists
-from ..sources.vector_store import append_vectors, current_vectors, next_batch, read_vectors
+from ..sources.vector_store import append_vectors, current_vectors, next_batch, read_vectors, superseded
 from .silver_job import refined_table
 
 GOLD_SCHEMA = "engine string, embeddings_nuevos bigint, vector_count_antes bigint, vector_count_despues bigint"
@@ -49,8 +49,11 @@ def _check_embedder(stored: DataFrame, embedder: Embedder) -> None:
 
 
 def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str = "exact",
-             embedder: Embedder | None = None, delta_on: str = "id") -> DataFrame:
-    """Embed what the engine's store lacks and append it; nothing is embedded when nothing is new."""
+             embedder: Embedder | None = None, delta_on: str = "id", embedded_by: str | None = None) -> DataFrame:
+    """Embed what the engine's store lacks and append it; nothing is embedded when nothing is new.
+
+    `embedded_by` names an engine whose store holds the same texts: its vectors are taken over where their hash agrees.
+    """
     embedder = embedder or HashingEmbedder()
     stored = read_vectors(spark, config.vectors_dir, engine)
     _check_embedder(stored, embedder)
@@ -66,8 +69,16 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
     if added == 0:
         return spark.createDataFrame([(engine, 0, before, before)], GOLD_SCHEMA)
     delta = refined.join(wanted, "id", "left_semi")
-    embedded = write_through(
-        embed_descriptions(delta, embedder).drop("description"), f"{scratch}/embedded_{engine}")
+    if embedded_by is not None:
+        other = read_vectors(spark, config.vectors_dir, embedded_by)
+        _check_embedder(other, embedder)
+        known = current_vectors(other, staged(superseded(other), config.scratch_dir)).select("id", "content_hash", "embedding")
+        taken = write_through(known.join(wanted, "id", "left_semi"), f"{scratch}/taken_{engine}")
+        delta = delta.join(taken.select("id", "content_hash"), ["id", "content_hash"], "left_anti")
+        embedded = embed_descriptions(delta, embedder).drop("description").unionByName(taken)
+    else:
+        embedded = embed_descriptions(delta, embedder).drop("description")
+    embedded = write_through(embedded, f"{scratch}/embedded_{engine}")
     strategy = _strategy(spark, config, engine, embedded, len(embedded.first()["embedding"]))
     batch = strategy.vector_cells(embedded).select(
         F.lit(engine).alias("engine"), F.lit(next_batch(stored)).cast("bigint").alias("batch_seq"),
@@ -86,5 +97,6 @@ def run_search(spark: SparkSession, config: JobConfig, queries: DataFrame, k: in
     first = stored.select(F.size("embedding")).first()
     strategy = _strategy(spark, config, engine, stored, first[0] if first else 1)
     # Only a store that re-embeds changed texts holds an id twice.
-    return search(queries, current_vectors(stored), refined_table(spark, config).read(), k, embedder, strategy,
+    current = current_vectors(stored, staged(superseded(stored), config.scratch_dir))
+    return search(queries, current, refined_table(spark, config).read(), k, embedder, strategy,
                   scratch=config.scratch_dir)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import keep_last
 from ..schemas import VECTOR_SCHEMA
 from .paths import path_exists, stored_bytes
 
@@ -24,9 +23,21 @@ def append_vectors(rows: DataFrame, path: str) -> None:
     ordered.write.mode("append").partitionBy("engine", "batch_seq").parquet(path)
 
 
-def current_vectors(rows: DataFrame) -> DataFrame:
-    """Newest vector of each id and engine, for stores that re-embed changed texts."""
-    return keep_last(rows, ["engine", "id"], ["batch_seq"])
+def superseded(rows: DataFrame) -> DataFrame:
+    """`engine, id, newest` of ids stored in more than one batch; reads no vectors."""
+    batches = rows.groupBy("engine", "id").agg(F.min("batch_seq").alias("oldest"), F.max("batch_seq").alias("newest"))
+    return batches.filter(F.col("oldest") < F.col("newest")).select("engine", "id", "newest")
+
+
+def current_vectors(rows: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
+    """Newest vector of each id and engine, for stores that re-embed changed texts.
+
+    `replaced` may be `superseded(rows)` already written out: it is normally tiny, and the vectors then meet it where
+    they lie instead of being shuffled by id.
+    """
+    replaced = superseded(rows) if replaced is None else replaced
+    kept = rows.join(replaced, ["engine", "id"], "left")
+    return kept.filter(F.col("newest").isNull() | (F.col("batch_seq") == F.col("newest"))).select(*rows.columns)
 
 
 def next_batch(rows: DataFrame) -> int:
