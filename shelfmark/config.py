@@ -22,6 +22,10 @@ class JobConfig:
     reports_dir: str = "reports"
     source: str = "catalog_api"
     table_buckets: int = 64
+    index_cells: int = 64
+    index_probes: int = 8
+    index_tables: int = 16
+    index_bits: int = 4
     scratch_dir: str | None = None
 
     def __post_init__(self):

@@ -8,7 +8,6 @@ Whatever the method, a task keeps k rows per query: the pairs of a cell are neve
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -61,13 +60,8 @@ class HyperplaneCells:
     probes_once = False
 
     def __post_init__(self):
-        if not 1 <= self.bits <= 16 or self.tables << self.bits > 1 << 20:
-            raise ValueError("bits must lie in 1..16 and tables * 2^bits within 2^20 cells")
-
-    @classmethod
-    def sized(cls, dim: int, rows: int) -> HyperplaneCells:
-        """More bits for a larger corpus, so that a cell stays near a few thousand vectors."""
-        return cls(dim, tables=16, bits=min(16, max(4, (rows // 4096).bit_length())))
+        if not 1 <= self.bits <= 32 or self.tables < 1:
+            raise ValueError("bits must lie in 1..32 and tables be positive")
 
     def planes(self) -> np.ndarray:
         """(tables * bits, dim) signs, each from the MD5 of its place: the same on every machine."""
@@ -85,7 +79,7 @@ class HyperplaneCells:
                 return _cell_lists([])
             above = (matrix_of(embedding) @ planes.T >= 0).reshape(-1, tables, bits)
             pattern = above @ (1 << np.arange(bits))
-            return _cell_lists(list(pattern + (np.arange(tables) << 16)))
+            return _cell_lists(list(pattern + (np.arange(tables) << 32)))
 
         return vectors.withColumn("cells", once(assign)(F.col("embedding")))
 
@@ -120,37 +114,39 @@ class CentroidCells:
         return self._nearest(queries, self.nprobe)
 
     @classmethod
-    def train(cls, vectors: DataFrame, n_cells: int, nprobe: int = 2, seed: int = 42,
-              training_rows: int = 200_000) -> CentroidCells:
-        """Spherical k-means centroids. Only training looks at a sample; every vector is assigned."""
+    def train(cls, vectors: DataFrame, n_cells: int, nprobe: int = 2, seed: int = 42) -> CentroidCells:
+        """Spherical k-means centroids of all vectors."""
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
 
-        rows = vectors.count()
-        sample = vectors if rows <= training_rows else vectors.sample(training_rows / rows, seed)
-        points = sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+        points = vectors.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
         model = KMeans(k=n_cells, seed=seed, maxIter=10, distanceMeasure="cosine").fit(points)
         centers = np.array(model.clusterCenters())
         unit = centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
         return cls(tuple(map(tuple, unit.tolist())), nprobe)
 
 
-def probes_for(n_cells: int) -> int:
-    return max(4, n_cells // 32)
+@dataclass(frozen=True)
+class IndexSize:
+    """How finely an index divides its vectors. Chosen for the size the store will have, and stored with it."""
+
+    cells: int = 64  # of ivf
+    probes: int = 8
+    tables: int = 16  # of lsh
+    bits: int = 4
 
 
 STRATEGIES = ("exact", "lsh", "ivf")
 
 
-def strategy_named(engine: str, vectors: DataFrame, dim: int):
-    """The engine's cells for a corpus of this size; a store keeps the ones it began with."""
+def strategy_named(engine: str, vectors: DataFrame, dim: int, size: IndexSize = IndexSize()):
+    """The engine's cells; those of ivf are trained on all `vectors`."""
     if engine == "exact":
         return Exact()
     if engine == "lsh":
-        return HyperplaneCells.sized(dim, vectors.count())
+        return HyperplaneCells(dim, size.tables, size.bits)
     if engine == "ivf":
-        n_cells = min(1024, max(16, math.isqrt(vectors.count())))
-        return CentroidCells.train(vectors, n_cells, probes_for(n_cells))
+        return CentroidCells.train(vectors, max(2, size.cells), size.probes)
     raise ValueError(f"unknown engine: {engine}")
 
 
@@ -159,82 +155,97 @@ class _Best:
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
-        self.scores = [np.empty(0)] * n_queries
-        self.ids = [np.empty(0, np.int64)] * n_queries
-
-    def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        kept = self.scores[query]
-        if len(kept) == self.k:
-            good = scores >= kept[-1]
-            scores, ids = scores[good], ids[good]
-        if len(ids) > 4 * self.k:
-            floor = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-            good = scores >= floor
-            scores, ids = scores[good], ids[good]
-        if len(ids) == 0:
-            return
-        scores, ids = np.append(kept, scores), np.append(self.ids[query], ids)
-        first = np.lexsort((ids, -scores))[:self.k]
-        self.scores[query], self.ids[query] = scores[first], ids[first]
+        self.found = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)  # query, score, id
+        self.floor = np.full(n_queries, -np.inf)  # score of each query's k-th best
+        self.offered = []
+
+    def offer(self, asked: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """`scores` has a row for each query in `asked` and a column for each of `ids`."""
+        k, n, least = self.k, scores.shape[1], self.floor[asked]
+        if n > k:
+            least = np.maximum(least, np.partition(scores, n - k, axis=1)[:, n - k])
+        row, column = np.nonzero(scores >= least[:, None])
+        self.offered.append((asked[row], scores[row, column], ids[column]))
+
+    def settle(self) -> None:
+        """Merge what was offered. A vector offered to a query twice counts once."""
+        query, score, id_ = (np.concatenate(x) for x in zip(self.found, *self.offered))
+        self.offered = []
+        order = np.lexsort((id_, -score, query))
+        query, score, id_ = query[order], score[order], id_[order]
+        new = np.ones(len(query), bool)
+        new[1:] = (query[1:] != query[:-1]) | (id_[1:] != id_[:-1])
+        query, score, id_ = query[new], score[new], id_[new]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = rank < self.k
+        last = rank == self.k - 1
+        self.floor[query[last]] = score[last]
+        self.found = query[kept], score[kept], id_[kept]
 
     def table(self, query_ids: np.ndarray) -> pa.Table:
-        sizes = [len(s) for s in self.scores]
-        return pa.table({
-            "query_id": pa.array(np.repeat(query_ids, sizes), pa.int64()),
-            "id": pa.array(np.concatenate(self.ids) if self.ids else [], pa.int64()),
-            "score": pa.array(np.concatenate(self.scores) if self.scores else [], pa.float64()),
-        })
+        self.settle()
+        query, score, id_ = self.found
+        return pa.table({"query_id": pa.array(query_ids[query], pa.int64()), "id": pa.array(id_, pa.int64()),
+                         "score": pa.array(score, pa.float64())})
 
 
 QUERIES_AT_ONCE = 256  # bounds the score matrix a task holds
 
 
-def _offer_all(best: _Best, asked: list[int], queries: np.ndarray, vectors: np.ndarray,
+def _offer_all(best: _Best, asked: np.ndarray, queries: np.ndarray, vectors: np.ndarray,
                ids: np.ndarray) -> None:
     for start in range(0, len(asked), QUERIES_AT_ONCE):
         some = asked[start:start + QUERIES_AT_ONCE]
-        for query, scores in zip(some, _scores(queries[some], vectors)):
-            best.offer(query, scores, ids)
+        best.offer(some, _scores(queries[some], vectors), ids)
 
 
 def _scores(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.round(queries @ vectors.T, SCORE_DIGITS)
 
 
+def _probed(vectors: DataFrame, queries: pa.Table) -> DataFrame:
+    """Only vectors in a cell some query probes; the others are dropped where they are read.
+
+    A store keeps the one cell of a vector as a plain column, in whose order it is written, so the filter reaches
+    the files. Vectors with several cells are filtered row by row.
+    """
+    cells = sorted({cell for probes in queries["cells"].to_pylist() for cell in probes})
+    if "cell" in vectors.columns:
+        return vectors.filter(F.col("cell").isin(cells))
+    return vectors.filter(F.exists("cells", lambda cell: cell.isin(cells)))
+
+
 def _scan(vectors: DataFrame, queries: pa.Table, k: int) -> DataFrame:
-    """One pass over the vectors with the whole (size-checked) query batch in each task."""
+    """One pass over the vectors of probed cells, with the whole (size-checked) query batch in each task."""
     spark = vectors.sparkSession
+    probes = queries["cells"].to_pylist()
+    asked_by: dict[int, list[int]] = {}
+    for query, cells in enumerate(probes):
+        for cell in cells:
+            asked_by.setdefault(cell, []).append(query)
     shared = spark.sparkContext.broadcast((
-        np.array(queries["query_id"].to_pylist(), np.int64),
-        matrix_of(queries["embedding"]),
-        [set(cells) for cells in queries["cells"].to_pylist()]))
+        np.array(queries["query_id"].to_pylist(), np.int64), matrix_of(queries["embedding"]),
+        {cell: np.array(asked) for cell, asked in asked_by.items()}))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, query_matrix, probes = shared.value
+        query_ids, query_matrix, asked = shared.value
         best = _Best(len(query_ids), k)
-        asked_by: dict[int, list[int]] = {}
-        for query, cells in enumerate(probes):
-            for cell in cells:
-                asked_by.setdefault(cell, []).append(query)
         for batch in batches:
+            if len(batch) == 0:
+                continue
             cells = batch["cells"]
             row = np.repeat(np.arange(len(batch)), np.diff(cells.offsets.to_numpy()))
             flat = cells.flatten().to_numpy(zero_copy_only=False)
             ids, matrix = batch["id"].to_numpy(), matrix_of(batch["embedding"])
             order = np.argsort(flat, kind="stable")
-            edges = np.flatnonzero(np.diff(flat[order])) + 1
-            candidates: dict[int, list[np.ndarray]] = {}
-            for members in np.split(order, edges):
-                for query in asked_by.get(flat[members[0]], ()) if len(members) else ():
-                    candidates.setdefault(query, []).append(row[members])
-            full = [q for q, parts in candidates.items() if len(parts[0]) == len(batch)]
-            _offer_all(best, full, query_matrix, matrix, ids)
-            for query in candidates.keys() - set(full):
-                picked = np.unique(np.concatenate(candidates[query]))
-                _offer_all(best, [query], query_matrix, matrix[picked], ids[picked])
+            for members in np.split(order, np.flatnonzero(np.diff(flat[order])) + 1):
+                if len(members) and flat[members[0]] in asked:
+                    picked = row[members]
+                    _offer_all(best, asked[flat[members[0]]], query_matrix, matrix[picked], ids[picked])
+            best.settle()
         yield from best.table(query_ids).to_batches()
 
-    return vectors.select("id", "embedding", "cells").mapInArrow(scan, MATCH_SCHEMA)
+    return _probed(vectors, queries).select("id", "embedding", "cells").mapInArrow(scan, MATCH_SCHEMA)
 
 
 def _blocks(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) -> DataFrame:
@@ -269,7 +280,7 @@ def _blocks(vectors: DataFrame, queries: DataFrame, k: int, block_rows: int) ->
         if len(left) == 0 or len(query_ids) == 0:
             return _Best(0, k).table(query_ids[:0])
         best = _Best(len(query_ids), k)
-        _offer_all(best, list(range(len(query_ids))), matrix_of(right["asked"]),
+        _offer_all(best, np.arange(len(query_ids)), matrix_of(right["asked"]),
                    matrix_of(left["embedding"]), left["id"].to_numpy())
         return best.table(query_ids)
 
@@ -297,14 +308,15 @@ def topk(queries: DataFrame, vectors: DataFrame, k: int, strategy=Exact(), *,
     vectors = vectors.filter(F.col("embedding").isNotNull())
     if "cells" not in vectors.columns:
         vectors = strategy.vector_cells(vectors)
+    elif strategy.probes_once and "cell" not in vectors.columns:
+        vectors = vectors.withColumn("cell", F.col("cells")[0])
     # Renamed columns of its own, as the queries are often rows of the very same table.
     queries = strategy.query_cells(
         queries.select("query_id", "embedding").toDF("query_id", "embedding")
         .filter(F.col("embedding").isNotNull()))
     asked = queries.limit(broadcast_queries + 1).toArrow()
     if len(asked) <= broadcast_queries:
-        # At most broadcast_queries * k narrow rows, so whatever joins them may broadcast them.
-        return rank_matches(_scan(vectors, asked, k), k).hint("broadcast")
+        return rank_matches(_scan(vectors, asked, k), k)
     matches = _blocks(vectors, queries, k, block_rows)
     if not strategy.probes_once:  # a vector may meet a query in several cells
         matches = matches.groupBy("query_id", "id").agg(F.max("score").alias("score"))

@@ -10,38 +10,74 @@ from ..config import JobConfig
 from ..operators.delta import embedding_delta
 from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
 from ..operators.search import search
-from ..operators.topk import STRATEGIES, CentroidCells, HyperplaneCells, probes_for, strategy_named
+from ..operators.topk import STRATEGIES, CentroidCells, Exact, HyperplaneCells, IndexSize, strategy_named
 from ..scratch import fresh_scratch, staged, write_through
 from ..sources.paths import path_exists
-from ..sources.vector_store import append_vectors, current_vectors, next_batch, read_vectors, superseded
+from ..sources.vector_store import (append_vectors, current_vectors, next_batch, read_vectors, replace_vectors,
+                                    superseded)
 from .silver_job import refined_table
 
 GOLD_SCHEMA = "engine string, embeddings_nuevos bigint, vector_count_antes bigint, vector_count_despues bigint"
 CENTROID_SCHEMA = T.StructType([
-    T.StructField("cell", T.LongType()), T.StructField("centroid", T.ArrayType(T.DoubleType()))])
+    T.StructField("cell", T.LongType()), T.StructField("centroid", T.ArrayType(T.DoubleType())),
+    T.StructField("probes", T.IntegerType())])
 PLANES_SCHEMA = "dim int, tables int, bits int"
 
 
+def index_size(config: JobConfig) -> IndexSize:
+    return IndexSize(config.index_cells, config.index_probes, config.index_tables, config.index_bits)
+
+
+def _stored_strategy(spark: SparkSession, path: str, engine: str):
+    if engine == "exact":
+        return Exact()
+    if not path_exists(spark, path):
+        return None
+    if engine == "ivf":
+        rows = spark.read.schema(CENTROID_SCHEMA).parquet(path).orderBy("cell").collect()
+        return CentroidCells(tuple(tuple(r["centroid"]) for r in rows), rows[0]["probes"])
+    return HyperplaneCells(*spark.read.schema(PLANES_SCHEMA).parquet(path).first())
+
+
+def _keep_strategy(spark: SparkSession, path: str, strategy) -> None:
+    if strategy.name == "ivf":
+        cells = [(i, list(c), strategy.nprobe) for i, c in enumerate(strategy.centroids)]
+        spark.createDataFrame(cells, CENTROID_SCHEMA).write.mode("overwrite").parquet(path)
+    elif strategy.name == "lsh":
+        sizes = [(strategy.dim, strategy.tables, strategy.bits)]
+        spark.createDataFrame(sizes, PLANES_SCHEMA).write.mode("overwrite").parquet(path)
+
+
 def _strategy(spark: SparkSession, config: JobConfig, engine: str, vectors: DataFrame, dim: int):
-    """The engine's cells: those the store began with, else new ones, kept beside the store."""
+    """The engine's cells: those the store began with, else new ones of the configured size, kept beside the store."""
     if engine not in STRATEGIES:
         raise ValueError(f"unknown engine: {engine}")
     path = f"{config.gold_dir}/cells/{engine}"
-    if engine == "ivf" and path_exists(spark, path):
-        rows = spark.read.schema(CENTROID_SCHEMA).parquet(path).orderBy("cell").collect()
-        return CentroidCells(tuple(tuple(r["centroid"]) for r in rows), probes_for(len(rows)))
-    if engine == "lsh" and path_exists(spark, path):
-        return HyperplaneCells(*spark.read.schema(PLANES_SCHEMA).parquet(path).first())
-    strategy = strategy_named(engine, vectors, dim)
-    if engine == "ivf":
-        cells = [(i, list(c)) for i, c in enumerate(strategy.centroids)]
-        spark.createDataFrame(cells, CENTROID_SCHEMA).write.parquet(path)
-    elif engine == "lsh":
-        sizes = [(strategy.dim, strategy.tables, strategy.bits)]
-        spark.createDataFrame(sizes, PLANES_SCHEMA).write.parquet(path)
+    strategy = _stored_strategy(spark, path, engine)
+    if strategy is None:
+        strategy = strategy_named(engine, vectors, dim, index_size(config))
+        _keep_strategy(spark, path, strategy)
     return strategy
 
 
+def rebuild_index(spark: SparkSession, config: JobConfig, engine: str, run_id: str) -> int:
+    """Divide the engine's current vectors anew, by cells of the configured size trained on all of them.
+
+    For a store that has outgrown the cells it began with. Returns the number of vectors kept.
+    """
+    stored = read_vectors(spark, config.vectors_dir, engine)
+    scratch = fresh_scratch(spark, config.scratch_dir, run_id)
+    current = write_through(current_vectors(stored, staged(superseded(stored), config.scratch_dir)), f"{scratch}/current")
+    first = current.select(F.size("embedding")).first()
+    if first is None:
+        return 0
+    strategy = strategy_named(engine, current, first[0], index_size(config))
+    divided = strategy.vector_cells(current.drop("cell", "cells")).withColumn("batch_seq", F.lit(0).cast("bigint"))
+    replace_vectors(divided, config.vectors_dir, engine, f"{scratch}/divided")
+    _keep_strategy(spark, f"{config.gold_dir}/cells/{engine}", strategy)
+    return current.count()
+
+
 def _check_embedder(stored: DataFrame, embedder: Embedder) -> None:
     other = stored.filter(F.col("embedder") != embedder.name).select("embedder").first()
     if other:

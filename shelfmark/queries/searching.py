@@ -15,7 +15,7 @@ from ..operators.evaluate import (choose_engine, engine_report_table, latency_pe
                                   sample_queries)
 from ..operators.metrics import gold_run_metrics
 from ..operators.search import search
-from ..operators.topk import CentroidCells, Exact, HyperplaneCells, topk
+from ..operators.topk import CentroidCells, Exact, HyperplaneCells, IndexSize, topk
 from ..plans.benchmark_job import run_benchmark
 from ..plans.report import search_report
 from ..scratch import fresh_scratch, staged
@@ -138,10 +138,6 @@ near AS (
 
 LSH_SQL = lsh_sql(LSH.tables, LSH.bits)
 
-# Bits of a pattern for a corpus of this size: one more for each doubling past 65,536 vectors, 4 to 16.
-SIZED_BITS_SQL = """(SELECT least(16, greatest(4, CASE WHEN count(*) < 4096 THEN 0
-                               ELSE floor(log2(count(*) // 4096)) + 1 END))::BIGINT FROM embeddings)"""
-
 IVF_SQL = f"""
 means AS (
   SELECT label, dim, avg(x) AS x FROM (SELECT label, unnest(range(1, {DIM + 1})) AS dim, unnest(v) AS x FROM e)
@@ -411,7 +407,7 @@ QUERIES = {
         truth AS (SELECT count(*) AS truths FROM exact)
         SELECT engine, hits, truths, round(hits / truths, 6) AS recall_at_k FROM hit, truth"""),
     "engine_report": (engines_compared, f"""
-        WITH {SAMPLE_SQL}, {EXACT_SQL}, {lsh_sql(16, SIZED_BITS_SQL)},
+        WITH {SAMPLE_SQL}, {EXACT_SQL}, {lsh_sql(IndexSize.tables, IndexSize.bits)},
         found AS (SELECT 'exact' AS engine, 0 AS engine_order, query_id, id FROM exact
                   UNION ALL SELECT 'lsh', 1, query_id, id FROM lsh),
         hit AS (SELECT f.engine, f.engine_order, count(x.id) AS hits FROM found f

@@ -71,6 +71,7 @@ VECTOR_SCHEMA = T.StructType([
     T.StructField("content_hash", TEXT),
     T.StructField("embedder", TEXT),
     T.StructField("embedding", T.ArrayType(T.FloatType())),
+    T.StructField("cell", LONG),
     T.StructField("cells", T.ArrayType(LONG)),
 ])
 

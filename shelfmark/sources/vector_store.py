@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import VECTOR_SCHEMA
+from ..scratch import file_system, write_through
 from .paths import path_exists, stored_bytes
 
 
@@ -18,9 +19,22 @@ def read_vectors(spark: SparkSession, path: str, engine: str | None = None) -> D
 
 
 def append_vectors(rows: DataFrame, path: str) -> None:
-    """Add a batch; earlier batches are not rewritten. Sorted by cell, so a probe can skip row groups."""
-    ordered = rows.select(*VECTOR_SCHEMA.fieldNames()).sortWithinPartitions("cells", "id")
-    ordered.write.mode("append").partitionBy("engine", "batch_seq").parquet(path)
+    """Add a batch; earlier batches are not rewritten. Files hold ranges of cells in order, so a probe skips the rest."""
+    _in_order(rows).write.mode("append").partitionBy("engine", "batch_seq").parquet(path)
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    return (rows.withColumn("cell", F.col("cells")[0]).select(*VECTOR_SCHEMA.fieldNames())
+            .repartitionByRange("cell", "id").sortWithinPartitions("cell", "id"))
+
+
+def replace_vectors(rows: DataFrame, path: str, engine: str, scratch: str) -> None:
+    """Put `rows` (batch 0) in place of all the engine holds. One writer; readers wait for the end."""
+    spark = rows.sparkSession
+    kept = write_through(rows, scratch)
+    system, place = file_system(spark, f"{path}/engine={engine}")
+    system.delete(place, True)
+    append_vectors(kept, path)
 
 
 def superseded(rows: DataFrame) -> DataFrame:

@@ -9,13 +9,13 @@ from shelfmark.config import JobConfig
 from shelfmark.operators.checks import check_engine_report, check_gold_no_growth, check_results
 from shelfmark.operators.embed import HashingEmbedder, ModelEmbedder, embed_descriptions
 from shelfmark.operators.evaluate import choose_engine, exact_percentiles, recall_at_k, sample_queries
-from shelfmark.operators.topk import CentroidCells, Exact, HyperplaneCells, topk
+from shelfmark.operators.topk import CentroidCells, Exact, HyperplaneCells, strategy_named, topk
 from shelfmark.plans.benchmark_job import run_benchmark, without_self
 from shelfmark.plans.full_run import EXAMPLE_QUERIES, run_all
-from shelfmark.plans.gold_job import run_gold, run_search
+from shelfmark.plans.gold_job import index_size, rebuild_index, run_gold, run_search
 from shelfmark.plans.silver_job import refined_table, run_silver
 from shelfmark.scratch import staged
-from shelfmark.sources.vector_store import current_vectors, read_vectors, store_bytes, superseded
+from shelfmark.sources.vector_store import append_vectors, current_vectors, read_vectors, store_bytes, superseded
 
 CORPUS = [
     ("Lanterns under the Ice", "Divers light the bottom of a frozen lake and map the drowned railway that crosses it. "),
@@ -201,6 +201,32 @@ def test_vectors_are_taken_over_from_another_engine(spark, config):
     assert vectors["exact"] == vectors["lsh"] and len(vectors["lsh"]) == 5
 
 
+def test_ivf_reads_probed_cells_only_and_may_be_rebuilt(spark, tmp_path):
+    matrix = unit_rows(400, 16, 11)
+    config = JobConfig(gold_dir=str(tmp_path / "gold"), scratch_dir=str(tmp_path / "scratch"), index_cells=20, index_probes=2)
+    strategy = strategy_named("ivf", vector_table(spark, matrix), 16, index_size(config))
+    rows = strategy.vector_cells(vector_table(spark, matrix)).select(
+        F.lit("ivf").alias("engine"), F.lit(0).cast("bigint").alias("batch_seq"), "id", F.lit("h").alias("content_hash"),
+        F.lit("e").alias("embedder"), "embedding", "cells")
+    append_vectors(rows, config.vectors_dir)
+    stored = read_vectors(spark, config.vectors_dir, "ivf")
+    asked = vector_table(spark, matrix[:1], "query_id")
+    found = topk(asked, stored, 5, strategy)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("FileScan"):]
+    assert "In(cell" in scan[scan.index("PushedFilters"):] or "EqualTo(cell" in scan
+    assert as_ranks(found) == as_ranks(topk(asked, vector_table(spark, matrix), 5, strategy))
+    (probes,) = [r["cells"] for r in strategy.query_cells(asked).collect()]
+    assert stored.filter(F.col("cell").isin(probes)).count() < 0.4 * 400
+
+    larger = JobConfig(**{**vars(config), "index_cells": 50, "index_probes": 50})
+    assert rebuild_index(spark, larger, "ivf", "r") == 400
+    again = read_vectors(spark, config.vectors_dir, "ivf")
+    assert again.count() == 400 and again.select("cell").distinct().count() > 25
+    every = CentroidCells(((1.0,) + (0.0,) * 15,) * 50, nprobe=50)
+    assert as_ranks(topk(asked, again, 5, every)) == brute_force(matrix[:1], matrix, 5)
+
+
 def test_search_moves_no_vectors(spark, config):
     run_gold(spark, config, "g1")
     stored = read_vectors(spark, config.vectors_dir, "exact")
