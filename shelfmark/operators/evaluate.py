@@ -29,6 +29,9 @@ def recall_at_k(results: DataFrame, truth: DataFrame) -> DataFrame:
     return counted.withColumn("recall_at_k", recall)
 
 
+SALTS = 32
+
+
 def exact_percentiles(df: DataFrame, group: str, value: str, probabilities: Sequence[float],
                       accuracy: int = 100_000) -> DataFrame:
     """`group, p, percentile` with linear interpolation between neighbours.
@@ -36,7 +39,8 @@ def exact_percentiles(df: DataFrame, group: str, value: str, probabilities: Sequ
     `percentile()` holds every distinct value of a group in one task. Here a sketch first
     brackets each wanted rank (small groups keep their whole range). Values below the bracket
     are only counted, map-side, and values above it dropped: what reaches the ordered step is
-    about 6/`accuracy` of a group, and the result is still exact.
+    about 6/`accuracy` of a group, and the result is still exact. Values meet the brackets dealt by group and value,
+    so a group with most rows does not fill one task.
     """
     slack = 3.0 / accuracy
     edges = [e for p in probabilities for e in (max(0.0, p - slack), min(1.0, p + slack))]
@@ -51,7 +55,9 @@ def exact_percentiles(df: DataFrame, group: str, value: str, probabilities: Sequ
             F.when(small, F.col("most")).otherwise(F.col("edges")[2 * i + 1]).alias("high"))
         for i, p in enumerate(probabilities)]))
     brackets = sketch.select(group, "n", wanted.alias("w")).select(group, "n", "w.*")
-    inside = df.join(brackets, group).filter(F.col(value) <= F.col("high"))
+    salt = F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int").alias("__salt")
+    salted = brackets.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    inside = df.select(group, value, salt).join(salted, [group, "__salt"]).filter(F.col(value) <= F.col("high"))
     counts = (inside.withColumn("v", F.when(F.col(value) >= F.col("low"), F.col(value)))
               .groupBy(group, "p", "n", "v").agg(F.count(F.lit(1)).alias("rows")))
     upward = (Window.partitionBy(group, "p").orderBy(F.col("v").asc_nulls_first())

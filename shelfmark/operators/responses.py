@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import staged
 from .contract import EMPTY_JSON
 
 PAGE, QUERY_ERROR, UNREADABLE = "page", "query_error", "unreadable"
@@ -128,22 +129,31 @@ def landing_summary(results: DataFrame, pending: DataFrame, total_pages: int) ->
         (open_pages - F.col("paginas_escritas") - F.col("paginas_fallidas")).alias("paginas_sin_decidir"))
 
 
-def previous_time(df: DataFrame, key: str, time: str, slice_width: int) -> DataFrame:
+def previous_time(df: DataFrame, key: str, time: str, slice_width: int, slice_rows: int = 100_000) -> DataFrame:
     """Add `previous`: the time of the same key's preceding row (null for its first).
 
     `lag` over a whole key would put a busy client in one task. The window runs within time
     slices, and the first row of a slice takes the latest time of the key's slice before,
-    found on one row per key and slice.
+    found on one row per key and slice. A slice counted to hold more than `slice_rows` rows is cut into as many equal
+    parts as that asks for.
     """
     sliced = df.withColumn("__slice", F.floor(F.col(time) / slice_width))
-    within = Window.partitionBy(key, "__slice").orderBy(time)
-    ends = sliced.groupBy(key, "__slice").agg(F.max(time).alias("__end"))
-    across = Window.partitionBy(key).orderBy("__slice")
-    carried = ends.select(key, "__slice", F.lag("__end").over(across).alias("__carried"))
+    # One row per crowded slice; written out, so that Spark knows how few they are.
+    crowded = staged(sliced.groupBy(key, "__slice").agg(F.count(F.lit(1)).alias("__rows"))
+                     .filter(F.col("__rows") > slice_rows)
+                     .select(key, "__slice", F.ceil(F.col("__rows") / slice_rows).alias("__parts")))
+    into = F.col(time) - F.col("__slice") * slice_width
+    part = F.floor(into * F.coalesce("__parts", F.lit(1)) / slice_width)
+    sliced = sliced.join(crowded, [key, "__slice"], "left").withColumn("__part", part).drop("__parts")
+    place = [key, "__slice", "__part"]
+    within = Window.partitionBy(*place).orderBy(time)
+    ends = sliced.groupBy(*place).agg(F.max(time).alias("__end"))
+    across = Window.partitionBy(key).orderBy("__slice", "__part")
+    carried = ends.select(*place, F.lag("__end").over(across).alias("__carried"))
     return (sliced.withColumn("__lag", F.lag(time).over(within))
-            .join(carried, [key, "__slice"], "left")
+            .join(carried, place, "left")
             .withColumn("previous", F.coalesce("__lag", "__carried"))
-            .drop("__slice", "__lag", "__carried"))
+            .drop("__slice", "__part", "__lag", "__carried"))
 
 
 def pacing_audit(log: DataFrame, base_pause: float = 1.0, threshold: int = 10,

@@ -274,6 +274,21 @@ def test_percentiles_are_exact_on_skewed_values(spark, accuracy):
         assert found == pytest.approx(np.percentile(values[g], p * 100), rel=1e-12, abs=1e-12)
 
 
+def test_values_are_not_dealt_by_group_alone(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        group = F.when(F.col("id") < 50_000, "most").otherwise("few").alias("g")
+        df = spark.range(50_010).select(group, (F.col("id") % 997).cast("double").alias("v"))
+        frame = exact_percentiles(df, "g", "v", [0.5], accuracy=1_000)
+        found = {r["g"]: r["percentile"] for r in frame.collect()}
+        assert found["most"] == pytest.approx(np.percentile(np.arange(50_000) % 997, 50))
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        joined = [line for line in plan.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+        assert joined and all("__salt" in line for line in joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_whole_run_writes_both_reports(spark, config, tmp_path):
     attempts = spark.createDataFrame(
         [(p, 1, 200, None, page_body(p, 3)) for p in (1, 2)], LOG_SCHEMA)

@@ -181,6 +181,10 @@ def test_previous_time_across_slices(spark):
             .orderBy("t").collect()]
     assert rows == list(zip(times, [None, *times[:-1]]))
     assert previous_time(df, "key", "t", 10).count() == len(times) + 1
+    burst = [*range(200, 260), 260, 260, 900, 901]
+    crowded = spark.createDataFrame([("k", t) for t in times + burst], "key string, t long")
+    rows = [(r["t"], r["previous"]) for r in previous_time(crowded, "key", "t", 100, slice_rows=7).orderBy("t", "previous").collect()]
+    assert rows == list(zip(times + burst, [None, *times, *burst][:-1]))
 
 
 def test_config_prefers_arguments_then_environment(monkeypatch):
