@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import buckets_for
 
 VECTOR_BLOCK, QUERY_BLOCK = 8192, 4096
-LEVELS, STEPS, FEW = 16, 8, 256
+LEVELS, STEPS, FEW = 64, 8, 256
 EXACT_LIMIT = 2 ** 26  # components up to here: 64-bit sums of up to 2,048 products are exact
 
 
@@ -28,43 +28,39 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, levels: int = LEVELS):
         self.ids, self.vectors = ids, vectors
         n, dims = vectors.shape
-        self.postings, self.low, self.high, self.dim = [], [], [], []
+        self.postings, low, high, dim = [], [], [], []
+        self.width = np.zeros((n, dims))  # of the level that holds a row's component
         for d in range(dims):
-            order = np.argsort(vectors[:, d], kind="stable")
-            for rows in np.array_split(order, min(levels, n)):
-                self.postings.append(np.sort(rows))
-                self.low.append(vectors[rows[0], d])
-                self.high.append(vectors[rows[-1], d])
-                self.dim.append(d)
-        self.low, self.high = np.array(self.low, float), np.array(self.high, float)
-        self.dim = np.array(self.dim, np.int64)
+            for rows in np.array_split(np.argsort(vectors[:, d], kind="stable"), min(levels, n)):
+                self.postings.append(rows.astype(np.int32))
+                low.append(vectors[rows[0], d])
+                high.append(vectors[rows[-1], d])
+                dim.append(d)
+                self.width[rows, d] = float(high[-1]) - float(low[-1])
+        self.low, self.high, self.dim = np.array(low, float), np.array(high, float), np.array(dim, np.int64)
+        self.sizes = np.array([len(p) for p in self.postings], np.int64)
 
     def possible(self, query: np.ndarray, k: int, steps: int = STEPS, few: int = FEW) -> np.ndarray:
         """Rows that can be among the k best; all others are proven not to be."""
         n, dims = self.vectors.shape
-        q = query.astype(float)[self.dim]
-        ends = np.sort(np.stack([q * self.low, q * self.high]), axis=0)
+        q = query.astype(float)
+        ends = np.sort(np.stack([q[self.dim] * self.low, q[self.dim] * self.high]), axis=0)
         base = np.full(dims, np.inf)
         np.minimum.at(base, self.dim, ends[0])
         gain = ends[0] - base[self.dim]  # what a posting's rows have at least, over the lowest of the dimension
-        width = ends[1] - ends[0]  # and at most so much more
         rounding = 1e-9 * (1 + np.abs(ends).max(initial=0) * dims)
         order = np.argsort(-gain, kind="stable")
-        # Rows not yet met in a dimension are taken to be in its widest posting.
-        widest = np.zeros(dims)
-        np.maximum.at(widest, self.dim, width)
-        least, most = np.zeros(n), np.full(n, widest.sum())
-        rows, done = np.arange(n), 0
+        hidden = self.width @ np.abs(q)  # at most so much more than the sum of its gains has a row
+        least, rows, done = np.zeros(n), np.arange(n), 0
         for part in np.array_split(order, steps):
-            for p in part.tolist():
-                at = self.postings[p]
-                least[at] += gain[p]
-                most[at] += gain[p] + width[p] - widest[self.dim[p]]
+            if len(part):
+                met = np.concatenate([self.postings[p] for p in part.tolist()])
+                least += np.bincount(met, np.repeat(gain[part], self.sizes[part]), n)
             done += len(part)
             left = np.zeros(dims)  # the most that a posting not yet processed gains, per dimension
             np.maximum.at(left, self.dim[order[done:]], gain[order[done:]])
             kth = np.partition(least, n - k)[n - k] if n > k else -np.inf
-            rows = np.flatnonzero(most + left.sum() + rounding >= kth)
+            rows = np.flatnonzero(least + hidden + (left.sum() + rounding) >= kth)
             if len(rows) <= few:
                 break
         return rows
