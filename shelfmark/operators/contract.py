@@ -185,7 +185,7 @@ def check_contract(df: DataFrame, min_desc_len: int = 50, payload: str = "payloa
             CASE WHEN studios IS NULL THEN 'studios: list of named objects expected' END,
             CASE WHEN ingestion_timestamp IS NULL THEN 'ingestion_timestamp: text expected' END)""",
     })
-    # Fixed text: the length reason, word for word.
+    # Fixed texts: the length reason and how the list of type errors begins, word for word.
     reason = f"""CASE
         WHEN NOT startswith({_kind("__document")}, 'OBJECT') THEN 'Malformed record: JSON object expected'
         WHEN __raw_kind <> 'STRING' AND NOT {_is_empty("__raw", "__raw_kind")}
