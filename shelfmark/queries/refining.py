@@ -9,11 +9,12 @@ from ..functions.text import clean_description, synopsis_preview
 from ..operators.checks import check_silver_idempotent
 from ..operators.contract import check_contract, flatten_entry, rejected_rows, valid_rows
 from ..operators.dedupe import keep_last
-from ..operators.merge import apply_changes, merge_changes, merge_upsert
+from ..operators.merge import INSERT, apply_changes, merge_changes, merge_upsert
 from ..operators.metrics import metrics_pivot, route_counts, run_metrics
 from ..plans.silver_job import refined_rows
 from ..schemas import REFINED_COLUMNS, REFINED_SCHEMA
-from ..scratch import staged
+from ..scratch import fresh_scratch, staged
+from ..sources.buckets import BucketTable
 from ..sources.journal import current_quarantine, quarantine_rows
 from ..sources.landing import (batch_filename, envelope_text, explode_page_files, land_records,
                                pending_pages, read_landing, valid_pages)
@@ -115,6 +116,16 @@ def merged_table(spark, sf_dir):
         "id", "status", "ingestion_timestamp", "content_hash")
 
 
+def bucket_table(spark, sf_dir):
+    """The same merge through the stored table: filled, then changed bucket by bucket, then read back."""
+    target, source = merge_sides(spark, sf_dir)
+    folder = fresh_scratch(spark, name="buckets")
+    stored = BucketTable(spark, f"{folder}/table", target.schema, buckets=16)
+    stored.apply(target.withColumn("op", F.lit(INSERT)), f"{folder}/filled")
+    stored.apply(staged(merge_changes(stored.read(), source)), f"{folder}/changed")
+    return stored.read().select("id", "status", "ingestion_timestamp", "content_hash")
+
+
 def silver_metrics(spark, sf_dir):
     """Two runs over the same landed pages, into an empty table and into the result of the first."""
     checked = staged(_checked(spark, sf_dir))
@@ -298,6 +309,8 @@ QUERIES = {
         WITH {MERGE_SQL} SELECT id, status, content_hash, op FROM merged WHERE op IN ('insert', 'update')"""),
     "merged_table": (merged_table, f"""
         WITH {MERGE_SQL} SELECT id, status, ingestion_timestamp, content_hash FROM merged"""),
+    "bucket_table": (bucket_table, f"""
+        WITH {MERGE_SQL} SELECT id, status, ingestion_timestamp, content_hash FROM merged"""),
     "silver_metrics": (silver_metrics, f"{METRICS_SQL} SELECT * FROM runs"),
     "check_silver_idempotent": (silver_idempotent, f"""
         {METRICS_SQL}

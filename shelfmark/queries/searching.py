@@ -20,7 +20,7 @@ from ..plans.benchmark_job import run_benchmark
 from ..plans.report import search_report
 from ..scratch import fresh_scratch, staged
 from ..sources.paths import spread
-from ..sources.vector_store import current_vectors
+from ..sources.vector_store import append_vectors, current_vectors, read_vectors, superseded
 from .refining import preview_sql
 from .tables import table
 
@@ -270,6 +270,25 @@ def store_current(spark, sf_dir):
     return current_vectors(_appended(spark, sf_dir, "hash")).select("id", "batch_seq", "content_hash")
 
 
+def stored_vectors(spark, sf_dir):
+    """Two batches written to a store and read back: vectors of label 0 were stored again, turned round."""
+    folder = fresh_scratch(spark, name="vectors")
+
+    def batch(seq, rows):
+        return Exact().vector_cells(rows).select(
+            F.lit("exact").alias("engine"), F.lit(seq).cast("bigint").alias("batch_seq"), "id",
+            F.lit("h").alias("content_hash"), F.lit("given").alias("embedder"), "embedding", "cells")
+
+    vectors = _vectors(spark, sf_dir)
+    turned = vectors.filter("label = 0").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    append_vectors(batch(0, vectors), folder)
+    append_vectors(batch(1, turned), folder)
+    stored = read_vectors(spark, folder, "exact")
+    current = current_vectors(stored, staged(superseded(stored)))
+    return current.select("id", "batch_seq", F.posexplode("embedding").alias("dim", "x")).select(
+        "id", "batch_seq", F.col("dim").cast("bigint").alias("dim"), F.col("x").cast("double").alias("x"))
+
+
 def gold_metrics(spark, sf_dir):
     refined, stored = _refined(spark, sf_dir), _stored(spark, sf_dir)
     first = gold_run_metrics("exact", embedding_delta(refined, stored), stored)
@@ -448,6 +467,9 @@ QUERIES = {
                CASE WHEN r.id IS NULL OR r.content_hash = s.content_hash THEN 0::BIGINT ELSE 1 END AS batch_seq,
                coalesce(r.content_hash, s.content_hash) AS content_hash
         FROM refined r FULL JOIN stored s ON r.id = s.id"""),
+    "vector_store_read": (stored_vectors, f"""
+        SELECT vec_id AS id, CASE WHEN label = 0 THEN 1 ELSE 0 END::BIGINT AS batch_seq, unnest(range(0, {DIM})) AS dim,
+               unnest(embedding)::DOUBLE * CASE WHEN label = 0 THEN -1 ELSE 1 END AS x FROM embeddings"""),
     "gold_run_metrics": (gold_metrics, f"""
         WITH {GOLD_SQL}, n AS (SELECT (SELECT count(*) FROM stored) AS held, (SELECT count(*) FROM refined) AS total,
           (SELECT count(*) FROM refined WHERE id NOT IN (SELECT id FROM stored)) AS fresh)
