@@ -42,6 +42,13 @@ def slices_of(sorted_buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_buckets[a]), int(a), int(b)
 
 
+def bounded_sample(docs: DataFrame, most: int, salt: int) -> DataFrame:
+    """At most `most` rows of `docs`: those with the smallest hashes of their doc_id, found without reading other columns."""
+    drawn = F.xxhash64("doc_id", F.lit(salt))
+    least = docs.select(drawn.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    return docs.where(drawn <= F.lit(least).cast("long")).limit(most)
+
+
 def free_name(frame: DataFrame, wanted: str) -> str:
     """`wanted`, with underscores until no column of `frame` has that name (in any case)."""
     taken = {c.lower() for c in frame.columns}

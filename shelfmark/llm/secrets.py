@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfmark.functions.udfs import once
 
-from .common import utf8
+from .common import bounded_sample, utf8
 from .crf import BEGIN, INSIDE, Crf
 from .tokens import WordTable
 
@@ -141,14 +141,13 @@ def fit(docs: DataFrame, most: int = TRAIN_DOCUMENTS) -> Crf | None:
 
     Two thirds of them hold a name or the begin of an access key, the others are any; each the smallest by a hash.
     """
-    chosen = docs.select(F.xxhash64("doc_id", F.lit(7)).alias("h"), "doc_id", utf8().alias("text"))
+    chosen = docs.select("doc_id", utf8().alias("text"))
     small = F.lower(F.col("text").cast("string"))
     likely = F.lit(False)
     for name in _NAMES:
         likely = likely | small.contains(name.decode())
     likely = likely | F.col("text").cast("string").contains("AKIA")
-    sample = chosen.where(likely).orderBy("h", "doc_id").limit(most * 2 // 3).unionAll(
-        chosen.orderBy("h", "doc_id").limit(most // 3))
+    sample = bounded_sample(chosen.where(likely), most * 2 // 3, 7).unionAll(bounded_sample(chosen, most // 3, 7))
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
