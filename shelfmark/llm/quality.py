@@ -1,7 +1,7 @@
 """Quality rules: counts per document, and how far its distributions are from those of its language.
 
 Two histograms, over character classes and over the language's common words, are compared with the language's
-own by Jensen-Shannon distance. The references come from all documents of the language. A histogram of few
+own by Jensen-Shannon distance. The references come from all documents of the language, and of no other. A histogram of few
 words differs from any reference by chance; what a text of that length is expected to differ by is taken off first,
 and short texts and small languages are not judged.
 """
@@ -16,14 +16,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfmark.functions.udfs import once
+from shelfmark.scratch import staged
 
-from .common import utf8
+from .common import free_name, utf8
 
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 COMMON_WORDS = 24
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.33, 0.185
-#: A language is a reference from so many words and this share of all words on; hence a thousand references at most.
-REFERENCE_WORDS, REFERENCE_SHARE = 5_000, 0.001
+REFERENCE_WORDS = 5_000  # a language of fewer words is no reference
+BROADCAST_LANGUAGES = 1_000  # the references of so many languages travel to the documents, those with the most words
 PART_WORDS = 200_000
 
 # Classes of characters.
@@ -111,60 +112,88 @@ def language_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "word", "class").agg(F.sum("n").alias("n"))
 
 
-class References:
-    """Common words and histograms of each language with enough words; bounded by REFERENCE_SHARE."""
-
-    def __init__(self, docs: DataFrame):
-        counts = language_counts(docs)
-        # Per language: words in all, and the most common ones (ties by bytes).
-        words = counts.where("class < 0")
-        totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-        common = words.withColumn("rank", F.row_number().over(
-            Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON_WORDS)
-        classes = counts.where("class >= 0").groupBy("lang").agg(
-            F.sort_array(F.collect_list(F.struct("class", "n"))).alias("classes"))
-        top = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("common"))
-        all_words = totals.select(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-        least = max(REFERENCE_WORDS, REFERENCE_SHARE * all_words)
-        self.of = {}
-        for row in totals.where(F.col("total") >= least).join(top, "lang").join(classes, "lang").collect():
-            bins = {bytes(c["word"]): k for k, c in enumerate(row["common"])}
-            counted = [c["n"] for c in row["common"]]
-            histogram = np.array(counted + [row["total"] - sum(counted)], float)
-            self.of[row["lang"]] = bins, histogram, np.array([c["n"] for c in row["classes"]], float)
-
-    def distances(self, lang: str, words: list[bytes], classes: np.ndarray) -> tuple[float, float]:
-        """Of a text's character classes and of its words; zero without a reference."""
-        if lang not in self.of or len(words) < MIN_WORDS:
-            return 0.0, 0.0
-        bins, common, of_classes = self.of[lang]
-        other = len(bins)
-        found = np.bincount([bins.get(w, other) for w in words], minlength=other + 1)
-        return distance(classes, of_classes, False), distance(found, common, True)
+def references(docs: DataFrame) -> DataFrame:
+    """lang, total, reference: of each language with enough words its common words and both histograms, packed; a written table."""
+    counts = language_counts(docs)
+    # Per language: words in all, and the most common ones (ties by bytes).
+    words = counts.where("class < 0")
+    totals = words.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= REFERENCE_WORDS)
+    common = words.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON_WORDS)
+    classes = counts.where("class >= 0").groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("class", "n"))).alias("classes"))
+    top = common.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("common"))
+
+    def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            packed = []
+            for total, best, of_class in zip(part["total"], part["common"], part["classes"]):
+                counted = [c["n"] for c in best]
+                lines = [b" ".join(bytes(c["word"]) for c in best)]  # words hold no white space
+                for numbers in ([*counted, total - sum(counted)], [c["n"] for c in of_class]):
+                    lines.append(" ".join(map(str, numbers)).encode())
+                packed.append(b"\n".join(lines))
+            yield pd.DataFrame({"lang": part["lang"], "total": part["total"], "reference": packed})
+
+    return staged(totals.join(top, "lang").join(classes, "lang").mapInPandas(pack, "lang string, total long, reference binary"))
+
+
+def unpacked(reference: bytes) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    words, common, classes = reference.split(b"\n")
+    return {w: k for k, w in enumerate(words.split())}, np.array(common.split(), float), np.array(classes.split(), float)
+
+
+def with_references(docs: DataFrame, name: str) -> DataFrame:
+    """All rows and columns of `docs` and, as `name`, the reference of the row's language, null without one.
+
+    The languages with the most words are broadcast. Where there are more, the documents of the others meet theirs by
+    language; each of these has under a thousandth of all words.
+    """
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    known = references(docs.select(lang.alias("lang"), utf8().alias("text")))
+    key = free_name(docs, "reference_lang")
+    known = known.select(F.col("lang").alias(key), "total", F.col("reference").alias(name))
+    keyed = docs.withColumn(key, lang)
+    if known.count() <= BROADCAST_LANGUAGES:
+        return keyed.join(F.broadcast(known.drop("total")), key, "left").drop(key)
+    most = staged(known.orderBy(F.desc("total"), key).limit(BROADCAST_LANGUAGES).drop("total"))
+    others = known.drop("total").join(F.broadcast(most.select(key)), key, "left_anti")
+    rest = keyed.join(F.broadcast(most.select(key)), key, "left_anti").join(others, key, "left")
+    return keyed.join(F.broadcast(most), key).unionByName(rest).drop(key)
+
+
+def distances(reference: tuple | None, words: list[bytes], classes: np.ndarray) -> tuple[float, float]:
+    """Of a text's character classes and of its words; zero without a reference."""
+    if reference is None or len(words) < MIN_WORDS:
+        return 0.0, 0.0
+    bins, common, of_classes = reference
+    other = len(bins)
+    found = np.bincount([bins.get(w, other) for w in words], minlength=other + 1)
+    return distance(classes, of_classes, False), distance(found, common, True)
 
 
 RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
           "class_distance double, word_distance double, kept boolean")
 
 
-def _judgement(docs: DataFrame):
-    """The RESULT struct of each row of `docs`, as a column. The references need a pass over all texts first."""
-    lang, text = F.coalesce(F.col("lang").cast("string"), F.lit("")), utf8()
-    references = References(docs.select(lang.alias("lang"), text.alias("text")))
-
-    def judge(langs: pd.Series, texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for lang, text in zip(langs, texts):
+def _judged(docs: DataFrame, name: str) -> DataFrame:
+    """`docs` with the RESULT struct of each row as `name`. The references need a pass over all texts first."""
+    def judge(texts: pd.Series, references: pd.Series) -> pd.DataFrame:
+        rows, known = [], {None: None}
+        for text, packed in zip(texts, references):
+            if packed not in known:
+                known[packed] = unpacked(packed)
             words, classes = text.split(), class_counts(text)
             repeated = repeated_words(words)
             failed = len(words) < MIN_WORDS or 100 * repeated > MAX_REPEATED_PERCENT * len(words)
-            of_classes, of_words = references.distances(lang, text.lower().split(), classes)
+            of_classes, of_words = distances(known[packed], text.lower().split(), classes)
             like = of_classes <= MAX_CLASS_DISTANCE and of_words <= MAX_WORD_DISTANCE
             rows.append((len(words), int(classes.sum() - classes[_WHITE]), int(classes[_SYMBOL]), repeated_lines(text),
                          repeated, failed, of_classes, of_words, like and not failed))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
 
-    return once(F.pandas_udf(judge, RESULT))(lang, text)
+    judged = once(F.pandas_udf(judge, RESULT))(utf8(), F.col(name))
+    return with_references(docs, name).withColumn(name, judged)
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -173,9 +202,11 @@ def quality(docs: DataFrame) -> DataFrame:
     A null text has no words and fails; a null lang counts as a language of its own. Repeated rows stay, null
     doc_ids too; other columns are ignored. An empty table gives an empty one.
     """
-    return docs.select("doc_id", _judgement(docs).alias("q")).select("doc_id", "q.*")
+    narrow = docs.select("doc_id", "lang", "text")
+    return _judged(narrow, "q").select("doc_id", "q.*")
 
 
 def passing(docs: DataFrame) -> DataFrame:
     """The rows that are kept, with all their columns."""
-    return docs.where(_judgement(docs).getField("kept"))
+    name = free_name(docs, "judged")
+    return _judged(docs, name).where(F.col(name).getField("kept")).select(*docs.columns)

@@ -59,6 +59,34 @@ def test_odd_documents_of_a_language_are_rejected(spark):
     assert passing.columns == frame(spark).columns and {r["doc_id"] for r in passing.collect()} == kept
 
 
+def _small_language():
+    words = prose(3, 400, 80).split()
+    draw = np.random.default_rng(2)
+    clean = [(k, " ".join(draw.choice(words, 150)), "en", "s", 1, *[None] * 11) for k in range(60)]
+    odd = [(200, " ".join(f"{w}###" for w in draw.choice(words, 150)), "en", "s", 1, *[None] * 11),
+           (201, " | ".join(f"w{k}" for k in range(200)), "en", "s", 1, *[None] * 11)]
+    return clean + odd
+
+
+def test_rows_of_another_language_change_no_verdict(spark):
+    docs = frame(spark, _small_language())
+    alone = {r["doc_id"]: tuple(r) for r in quality.quality(docs).collect()}
+    assert not alone[200][-1] and not alone[201][-1]
+    large = spark.range(300, 325).selectExpr("id doc_id", "repeat('ab cd ', 250000) text", "'xx' lang")
+    among = quality.quality(docs.select("doc_id", "text", "lang").unionByName(large)).where("doc_id < 300").collect()
+    assert {r["doc_id"]: tuple(r) for r in among} == alone
+
+
+def test_more_languages_than_are_broadcast(spark, monkeypatch):
+    docs = _small_language()
+    docs += [(1_000 * k + i, text, f"l{k}", *rest) for k in range(1, 4) for i, text, _, *rest in docs] + rows()
+    want = sorted(map(str, quality.quality(frame(spark, docs)).collect()))
+    monkeypatch.setattr(quality, "BROADCAST_LANGUAGES", 2)
+    assert sorted(map(str, quality.quality(frame(spark, docs)).collect())) == want
+    passing = quality.passing(frame(spark, docs))
+    assert passing.columns == frame(spark).columns and passing.count() == sum("kept=True" in w for w in want)
+
+
 def test_agrees_with_labels_it_never_saw(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
