@@ -23,7 +23,7 @@ class JobConfig:
     source: str = "catalog_api"
     table_buckets: int = 64
     index_cells: int = 64
-    index_probes: int = 8
+    index_probes: int = 32
     index_tables: int = 16
     index_bits: int = 4
     scratch_dir: str | None = None

@@ -131,7 +131,7 @@ class IndexSize:
     """How finely an index divides its vectors. Chosen for the size the store will have, and stored with it."""
 
     cells: int = 64  # of ivf
-    probes: int = 8
+    probes: int = 32  # as few as measured recall allows: README
     tables: int = 16  # of lsh
     bits: int = 4
 

@@ -25,6 +25,7 @@ from .refining import preview_sql
 from .tables import table
 
 K, DIM, WIDTH = 5, 64, 384
+IVF_RECALL = 0.9  # of ivf against exact search, at least
 LSH = HyperplaneCells(DIM, tables=8, bits=6)
 
 
@@ -377,7 +378,10 @@ def report_checked(spark, sf_dir):
 
 
 def engines_compared(spark, sf_dir):
-    """The comparison of all three engines. Times vary, and k-means is beyond SQL: of these only what must hold."""
+    """The comparison of all three engines. Times vary, and k-means is beyond SQL: of these only what must hold.
+
+    For ivf that is a measured recall of IVF_RECALL at least.
+    """
     vectors = _vectors(spark, sf_dir).select("id", "embedding")
     reports = run_benchmark(spark, vectors, K, fresh_scratch(spark, name="engines"), n_timed=3)
     times = ["build_time_ms", "latency_p50_ms", "latency_p95_ms", "batch_ms_per_query"]
@@ -385,7 +389,7 @@ def engines_compared(spark, sf_dir):
     return reports.select(
         "engine", F.col("engine_order").cast("bigint").alias("engine_order"),
         F.when(F.col("engine") != "ivf", F.round("recall_at_k", 6)).alias("recall_at_k"),
-        F.col("recall_at_k").between(0, 1).alias("recall_in_range"), measured.alias("measured"))
+        F.col("recall_at_k").between(F.when(F.col("engine") == "ivf", IVF_RECALL).otherwise(0), 1).alias("recall_in_range"), measured.alias("measured"))
 
 
 QUERIES = {

@@ -166,6 +166,22 @@ def test_fewer_vectors_than_k_and_bad_k(spark):
         topk(vector_table(spark, matrix, "query_id"), vector_table(spark, matrix), 0)
 
 
+def test_recall_of_ivf_by_brute_force(spark, tmp_path):
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").selectExpr("vec_id AS id", "embedding")
+    reported = run_benchmark(spark, vectors, 5, str(tmp_path), ("exact", "ivf"), n_timed=1).filter("engine = 'ivf'").first()["recall_at_k"]
+    rows = vectors.orderBy("id").collect()
+    ids, matrix = np.array([r["id"] for r in rows]), np.array([r["embedding"] for r in rows], float)
+    chosen = np.isin(ids, [r["query_id"] for r in sample_queries(vectors).collect()])
+    index = strategy_named("ivf", vectors, 64)
+    closeness = matrix @ np.array(index.centroids).T
+    cells, hits = closeness.argmax(axis=1), 0
+    for query, near in zip(matrix[chosen], closeness[chosen]):
+        best = np.argsort(-(matrix @ query))[:5]
+        hits += np.isin(cells[best], np.argsort(-near)[:index.nprobe]).sum()
+    assert reported == pytest.approx(hits / 250, abs=0.004)
+    assert reported >= 0.9
+
+
 def test_benchmark_reports_every_metric(spark, tmp_path):
     vectors = vector_table(spark, unit_rows(60, 16, 7))
     reports = run_benchmark(spark, vectors, 5, str(tmp_path), n_queries=10, n_timed=2)
