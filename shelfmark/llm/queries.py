@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, katz, packing, pages, pieces, quality, repeats, secrets, simhash, topk
+from . import chat, katz, manifest, packing, pages, pieces, quality, repeats, secrets, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,6 +125,66 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract_pages(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(_table(spark, sf_dir, "documents"))
+
+
+# `steps` leads from every node to the one above it: its parent, or for a language's root its leaf in the top tree.
+OP13_SQL = r"""
+WITH RECURSIVE named AS (
+  SELECT doc_id, text, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    coalesce(xor(4294967295, list_reduce(
+      [4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ord(d)::BIGINT),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 3 = 0,
+      false) AS altered
+  FROM documents
+), hashed AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN altered THEN sha256(head || coalesce(strlen(text) || ':'
+      || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other
+  FROM named
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY tree) AS size
+  FROM hashed
+), nodes AS (
+  SELECT tree, 0 AS level, place, size, leaf AS hash FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, place // 8, (size + 7) // 8, sha256(string_agg(hash, '' ORDER BY place))
+  FROM nodes WHERE size > 1 GROUP BY tree, level, size, place // 8
+), tops AS (
+  SELECT '^' AS tree, 0 AS level, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS size, hash, tree AS lang
+  FROM nodes WHERE size = 1
+), top_nodes AS (
+  SELECT tree, level, place, size, hash FROM tops
+  UNION ALL
+  SELECT tree, level + 1, place // 8, (size + 7) // 8, sha256(string_agg(hash, '' ORDER BY place))
+  FROM top_nodes WHERE size > 1 GROUP BY tree, level, size, place // 8
+), steps AS (
+  SELECT tree, level, place, tree AS to_tree, level + 1 AS to_level, place // 8 AS to_place,
+    coalesce(string_agg(hash, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(hash, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM (FROM nodes UNION ALL FROM top_nodes) WHERE size > 1
+  WINDOW run AS (PARTITION BY tree, level, place // 8 ORDER BY place)
+  UNION ALL
+  SELECT nodes.tree, nodes.level, nodes.place, tops.tree, 0, tops.place, NULL, NULL
+  FROM nodes JOIN tops ON nodes.size = 1 AND tops.lang = nodes.tree
+), walk AS (
+  SELECT tree AS own, place AS nth, tree, 0 AS level, place, coalesce(other, leaf) AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT own, nth, to_tree, to_level, to_place, CASE WHEN before IS NULL THEN folded ELSE sha256(before || folded || after) END,
+    proof || coalesce(before || after, '')
+  FROM walk JOIN steps USING (tree, level, place)
+)
+SELECT leaves.doc_id, leaf, tops.hash AS subroot, root.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = root.hash AS verified
+FROM walk JOIN top_nodes root ON root.size = 1 AND walk.tree = root.tree AND walk.level = root.level
+JOIN leaves ON leaves.tree = own AND leaves.place = nth JOIN tops ON tops.lang = own
+"""
+
+
 QUERIES = {
     "op1_chat_format": (op1_chat_format, OP1_SQL),
     "op2_best_fit_packing": (op2_best_fit_packing, None),
@@ -136,4 +196,5 @@ QUERIES = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_topk": (op9_exact_topk, OP9_SQL),
     "op10_html_text": (op10_html_text, None),
+    "op13_merkle_manifest": (op13_merkle_manifest, OP13_SQL),
 }
