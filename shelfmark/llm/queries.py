@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, katz, manifest, packing, pages, pieces, quality, repeats, secrets, simhash, topk
+from . import chat, katz, manifest, negatives, packing, pages, pieces, quality, repeats, secrets, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -125,6 +125,34 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract_pages(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+OP11_SQL = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+  FROM vectors a JOIN vectors c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s USING (anchor_id)
+  WHERE NOT same AND s.score::HUGEINT * 100 BETWEEN p.positive_score::HUGEINT * 30 AND p.positive_score::HUGEINT * 90
+) WHERE rank <= 10
+"""
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.proofs(_table(spark, sf_dir, "documents"))
 
@@ -196,5 +224,6 @@ QUERIES = {
     "op8_sentencepiece": (op8_sentencepiece, None),
     "op9_exact_topk": (op9_exact_topk, OP9_SQL),
     "op10_html_text": (op10_html_text, None),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
     "op13_merkle_manifest": (op13_merkle_manifest, OP13_SQL),
 }
