@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, katz, manifest, negatives, packing, pages, pieces, quality, repeats, secrets, simhash, topk
+from . import chat, katz, manifest, negatives, packing, pages, pieces, pii, quality, repeats, secrets, simhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,6 +153,10 @@ SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_scor
 """
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(_table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.proofs(_table(spark, sf_dir, "documents"))
 
@@ -225,5 +229,6 @@ QUERIES = {
     "op9_exact_topk": (op9_exact_topk, OP9_SQL),
     "op10_html_text": (op10_html_text, None),
     "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_personal_data": (op12_personal_data, None),
     "op13_merkle_manifest": (op13_merkle_manifest, OP13_SQL),
 }
