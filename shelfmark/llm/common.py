@@ -42,6 +42,21 @@ def slices_of(sorted_buckets: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(sorted_buckets[a]), int(a), int(b)
 
 
+def return_freed_memory() -> None:
+    """Have this worker give back what its arrays held: glibc else keeps blocks of up to 32 MB for the worker's next task."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD: from now on larger blocks are mapped, and unmapped when freed
+        libc.malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def bounded_sample(docs: DataFrame, most: int, salt: int) -> DataFrame:
     """At most `most` rows of `docs`: those with the smallest hashes of their doc_id, found without reading other columns."""
     drawn = F.xxhash64("doc_id", F.lit(salt))

@@ -25,13 +25,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buckets_for, slices_of, spread_of, text_bytes, utf8
+from .common import bounded_sample, buckets_for, return_freed_memory, slices_of, spread_of, text_bytes, utf8
 
 FOLDS, HELD_OUT = 5, 1
 MAX_DISCOUNTED = 5
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 CHUNK_DOCUMENTS = 1 << 16
-BUCKET_BYTES = 16 << 20  # of text for each partition of the tables
+BUCKET_BYTES = 8 << 20  # of text for each partition of the tables
 FREQUENT_WORDS = 128  # at most so many, each with at least this share of all words
 SAMPLE_DOCUMENTS = 2_000
 
@@ -260,7 +260,7 @@ class Model:
 
 def frequent_words(docs: DataFrame) -> np.ndarray:
     """Hashes of words with a large share of a bounded sample, and of the begin of a text, sorted."""
-    sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS).select("text")
+    sample = bounded_sample(docs, SAMPLE_DOCUMENTS, 5).select("text")
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counted = Counter()
@@ -298,16 +298,20 @@ def scores(docs: DataFrame) -> DataFrame:
                 if chunk.full():
                     yield chunk.postings(buckets, frequent)
                     chunk = Chunk()
+                    return_freed_memory()
         if chunk.ids:
             yield chunk.postings(buckets, frequent)
+        return_freed_memory()
 
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
+        return_freed_memory()
         table, bucket = Table(rows, pairs=False), int(rows["bucket"].iloc[0])
         asked = [(b, bucket, _seven(table.words[x:y]), table.word_counts[x:y].astype(np.uint32).tobytes())
                  for b, x, y in slices_of(_bucket(table.words, buckets))]
         return pd.DataFrame(asked, columns=["vbucket", "bucket", "words", "counts"])
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        return_freed_memory()
         words, sizes = np.concatenate([_from_seven(x) for x in rows["words"]]), [len(x) // 7 for x in rows["words"]]
         own = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"]])
         distinct, of = np.unique(words, return_inverse=True)
@@ -320,6 +324,7 @@ def scores(docs: DataFrame) -> DataFrame:
     def summarise(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame([], columns=[c.split()[0] for c in SUMMARY.split(", ")])
+        return_freed_memory()
         table, out = Table(rows), []
         counts_w = table.answered(answers)
         hot_h = _among(table.heads, frequent)[table.head]
@@ -343,6 +348,7 @@ def scores(docs: DataFrame) -> DataFrame:
         columns = [c.split()[0] for c in partial.split(", ")]
         if not len(rows):
             return pd.DataFrame([], columns=columns)
+        return_freed_memory()
         model = Model(next(x for x in answers["summary"] if x is not None), frequent)
         table = Table(rows)
         counts_w = table.answered(answers)
