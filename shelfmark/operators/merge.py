@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INSERT, UPDATE, UNCHANGED, KEPT = "insert", "update", "unchanged", "kept"
@@ -63,10 +63,14 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str = "id") -> Dat
     return target.join(replaced, key, "left_anti").unionByName(changes.select(*target.columns))
 
 
+def change_counters() -> list[Column]:
+    """Of changed rows, for an aggregation or an observation."""
+    return [F.count_if(F.col("op") == INSERT).alias("filas_nuevas"),
+            F.count_if(F.col("op") == UPDATE).alias("filas_actualizadas")]
+
+
 def count_changes(changes: DataFrame) -> DataFrame:
-    return changes.agg(
-        F.count_if(F.col("op") == INSERT).alias("filas_nuevas"),
-        F.count_if(F.col("op") == UPDATE).alias("filas_actualizadas"))
+    return changes.agg(*change_counters())
 
 
 def merge_into_table(spark, table: str, source: DataFrame, key: str = "id",

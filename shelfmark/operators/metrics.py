@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RUN_METRICS
 from .merge import count_changes
 
 
+def route_counters() -> list[Column]:
+    """Of checked rows, for an aggregation or an observation."""
+    valid = F.col("motivo_rechazo").isNull()
+    return [F.count(F.lit(1)).alias("filas_leidas"), F.count_if(valid).alias("filas_validas"),
+            F.count_if(~valid).alias("filas_en_cuarentena")]
+
+
 def route_counts(checked: DataFrame) -> DataFrame:
     """`filas_leidas, filas_validas, filas_en_cuarentena`, before any de-duplication."""
-    valid = F.col("motivo_rechazo").isNull()
-    return checked.agg(
-        F.count(F.lit(1)).alias("filas_leidas"),
-        F.count_if(valid).alias("filas_validas"),
-        F.count_if(~valid).alias("filas_en_cuarentena"))
+    return checked.agg(*route_counters())
 
 
 def metrics_pivot(metrics: DataFrame, runs: Sequence[str]) -> DataFrame:

@@ -11,11 +11,11 @@ from ..operators.delta import embedding_delta
 from ..operators.embed import Embedder, HashingEmbedder, embed_descriptions
 from ..operators.search import search
 from ..operators.topk import STRATEGIES, CentroidCells, Exact, HyperplaneCells, IndexSize, strategy_named
-from ..scratch import fresh_scratch, staged, write_through
+from ..scratch import drop_scratch, fresh_scratch, staged, write_through
 from ..sources.paths import path_exists
 from ..sources.vector_store import (append_vectors, current_vectors, next_batch, read_vectors, replace_vectors,
                                     superseded)
-from .silver_job import refined_table
+from .silver_job import refined_table, table_feed
 
 GOLD_SCHEMA = "engine string, embeddings_nuevos bigint, vector_count_antes bigint, vector_count_despues bigint"
 CENTROID_SCHEMA = T.StructType([
@@ -89,18 +89,24 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
     """Embed what the engine's store lacks and append it; nothing is embedded when nothing is new.
 
     `embedded_by` names an engine whose store holds the same texts: its vectors are taken over where their hash agrees.
+    `delta_on="feed"` embeds what the table's feed says was inserted or updated since the engine's last run, instead of
+    comparing all ids; without later runs neither the table nor the store is read.
     """
+    feed = table_feed(refined_table(spark, config)) if delta_on == "feed" else None
+    last = feed.last() if feed else -1
+    if feed and last <= feed.seen(engine):
+        held = feed.seen(f"{engine}_vectors")  # their number after the last run
+        return spark.createDataFrame([(engine, 0, max(held, 0), max(held, 0))], GOLD_SCHEMA)
     embedder = embedder or HashingEmbedder()
     stored = read_vectors(spark, config.vectors_dir, engine)
     _check_embedder(stored, embedder)
-    held = stored if delta_on == "id" else current_vectors(stored)
+    held = stored if delta_on == "id" else current_vectors(stored) if delta_on == "hash" else None
     before = stored.count()
     scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     refined = refined_table(spark, config).read().select("id", "content_hash", "description")
     # The keys first: with their number known, the texts are fetched by the cheaper kind of join.
-    wanted = write_through(
-        embedding_delta(refined.select("id", "content_hash"), held, delta_on).select("id"),
-        f"{scratch}/wanted_{engine}")
+    changed = feed.unseen(engine) if feed else embedding_delta(refined.select("id", "content_hash"), held, delta_on)
+    wanted = write_through(changed.select("id"), f"{scratch}/wanted_{engine}")
     added = wanted.count()
     if added == 0:
         return spark.createDataFrame([(engine, 0, before, before)], GOLD_SCHEMA)
@@ -120,6 +126,10 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
         F.lit(engine).alias("engine"), F.lit(next_batch(stored)).cast("bigint").alias("batch_seq"),
         "id", "content_hash", F.lit(embedder.name).alias("embedder"), "embedding", "cells")
     append_vectors(batch, config.vectors_dir)
+    if feed:  # a run that dies before this embeds the same texts again: the newest vector counts
+        feed.handled(f"{engine}_vectors", before + added)
+        feed.handled(engine, last)
+    drop_scratch(spark, scratch)
     return spark.createDataFrame([(engine, added, before, before + added)], GOLD_SCHEMA)
 
 

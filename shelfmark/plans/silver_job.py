@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,10 +12,12 @@ from ..config import JobConfig
 from ..functions.hashing import content_hash
 from ..operators.contract import check_contract
 from ..operators.dedupe import keep_last
-from ..operators.merge import count_changes, merge_changes
+from ..operators.merge import INSERT, UPDATE, change_counters, merge_changes
+from ..operators.metrics import route_counters
 from ..schemas import HASHED_COLUMNS, LONG, REFINED_COLUMNS, REFINED_SCHEMA, RUN_METRICS
 from ..scratch import drop_scratch, fresh_scratch, staged, write_through
 from ..sources.buckets import BucketTable
+from ..sources.feed import ChangeFeed
 from ..sources.journal import quarantine_rows, write_quarantine
 from ..sources.landing import landing_table, read_landing, read_page_files, relanded_pages
 
@@ -51,27 +53,30 @@ def refine(spark: SparkSession, config: JobConfig, records: DataFrame, as_of: st
 
     The checked rows are written once, split by verdict, and every later step reads that copy:
     the costly parse runs a single time and a lost executor cannot change the counts. Only rejects keep their
-    payload there. Only buckets of the table that change are written.
+    payload there. Only buckets of the table that change are written. The counters are observed on the rows as they are
+    written, and the table keeps its number of rows: none is counted in a pass of its own. What changed is added to the
+    table's feed.
     """
     scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     checked = check_contract(records, config.min_desc_len)
     checked = checked.withColumn("is_valid", F.col("motivo_rechazo").isNull()).withColumn(
         "payload", F.when(F.col("motivo_rechazo").isNotNull(), F.col("payload")))
-    checked = write_through(checked, f"{scratch}/checked", ["is_valid"])
-    verdicts = {row["is_valid"]: row["count"] for row in checked.groupBy("is_valid").count().collect()}
-    valid_count, rejected_count = verdicts.get(True, 0), verdicts.get(False, 0)
+    routed, changed = Observation("routed"), Observation("changed")
+    checked = write_through(checked.observe(routed, *route_counters()), f"{scratch}/checked", ["is_valid"])
+    valid_count, rejected_count = (routed.get[c] for c in ("filas_validas", "filas_en_cuarentena"))
     if rejected_count:
         rejected = checked.filter(~F.col("is_valid"))
         write_quarantine(quarantine_rows(rejected, as_of, run_id), config.quarantine_dir)
 
-    target, inserted, updated = table.read(), 0, 0
+    inserted, updated = 0, 0
     if valid_count:
         source = refined_rows(checked.filter("is_valid"), keep=order)
-        changes = write_through(merge_changes(target, source, order=order), f"{scratch}/changes")
-        inserted, updated = count_changes(changes).first()
-        table.apply(changes, scratch)
-        target = table.read()
-    counters = (valid_count + rejected_count, valid_count, rejected_count, inserted, updated, target.count())
+        changes = merge_changes(table.read(), source, order=order).observe(changed, *change_counters())
+        changes = write_through(changes, f"{scratch}/changes")
+        inserted, updated = (changed.get[c] for c in ("filas_nuevas", "filas_actualizadas"))
+        if table.apply(changes, scratch) and inserted + updated:
+            table_feed(table).append(changes.filter(F.col("op").isin(INSERT, UPDATE)))
+    counters = (valid_count + rejected_count, valid_count, rejected_count, inserted, updated, table.total_rows())
     drop_scratch(spark, scratch)
     return spark.createDataFrame([(run_id, *counters)], METRICS_SCHEMA)
 
@@ -80,6 +85,10 @@ def refined_table(spark: SparkSession, config: JobConfig) -> BucketTable:
     return BucketTable(spark, config.table_dir, REFINED_SCHEMA, buckets=config.table_buckets)
 
 
+def table_feed(table: BucketTable) -> ChangeFeed:
+    return ChangeFeed(table.spark, f"{table.path}_feed")
+
+
 def run_silver(spark: SparkSession, config: JobConfig, as_of: str, run_id: str,
                layout: str = "files") -> DataFrame:
     """Re-read everything landed and merge it; repeating a run changes nothing."""

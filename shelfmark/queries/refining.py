@@ -11,7 +11,8 @@ from ..operators.contract import check_contract, flatten_entry, rejected_rows, v
 from ..operators.dedupe import keep_last
 from ..operators.merge import INSERT, apply_changes, merge_changes, merge_upsert
 from ..operators.metrics import metrics_pivot, route_counts, run_metrics
-from ..plans.silver_job import refined_rows
+from ..config import JobConfig
+from ..plans.silver_job import refine, refined_rows, table_feed
 from ..schemas import REFINED_COLUMNS, REFINED_SCHEMA
 from ..scratch import fresh_scratch, staged
 from ..sources.buckets import BucketTable
@@ -141,6 +142,77 @@ def silver_metrics(spark, sf_dir):
     return runs[0].unionByName(runs[1])
 
 
+def _stored_table(spark, sf_dir):
+    """An empty table, its job's settings, and all catalogue records."""
+    folder = fresh_scratch(spark, name="refined")
+    config = JobConfig(silver_dir=folder, scratch_dir=folder)
+    return BucketTable(spark, f"{folder}/table", REFINED_SCHEMA, buckets=16), config, catalogue(spark, sf_dir).drop("doc_id")
+
+
+def observed_counters(spark, sf_dir):
+    """Two runs of the job over the same records, their counters observed while it wrote."""
+    stored, config, records = _stored_table(spark, sf_dir)
+    first = refine(spark, config, records, AS_OF, "run_1", stored)
+    return first.unionByName(refine(spark, config, records, AS_OF, "run_2", stored))
+
+
+def content_digests(spark, sf_dir):
+    """Rows and digest the table keeps after each of two runs, and after one cell was changed behind its back."""
+    stored, config, records = _stored_table(spark, sf_dir)
+
+    def kept(step):
+        sums = staged(stored.stats().agg(F.sum("rows").alias("rows"), F.sum("digest").cast("string").alias("digest")))
+        return sums.withColumn("altered_buckets", F.lit(stored.altered().count())).withColumn("step", F.lit(step))
+
+    refine(spark, config, records, AS_OF, "run_1", stored)
+    first = kept("first")
+    refine(spark, config, records, AS_OF, "run_2", stored)
+    second = kept("second")
+    least = stored.read().agg(F.min("id")).first()[0]
+    changed = F.when(F.col("id") == least, F.coalesce("episodes", F.lit(0)) + 1).otherwise(F.col("episodes"))
+    stored._write(staged(stored.read().withColumn("episodes", changed)), stored.buckets())
+    return first.unionByName(second).unionByName(kept("changed"))
+
+
+def feed_changes(spark, sf_dir):
+    """What a consumer that has seen the first of two runs finds in the table's feed."""
+    target, source = merge_sides(spark, sf_dir)
+    folder = fresh_scratch(spark, name="feed")
+    stored = BucketTable(spark, f"{folder}/table", target.schema, buckets=16)
+    feed = table_feed(stored)
+    for number, rows in enumerate((target, source)):
+        changes = staged(merge_changes(stored.read(), rows))
+        stored.apply(changes, f"{folder}/{number}")
+        seq = feed.append(changes)
+        if number == 0:
+            feed.handled("index", seq)
+    return feed.unseen("index").select("id", "content_hash", "op")
+
+
+def refined_hashes(spark, sf_dir):
+    rows = refined_rows(valid_rows(_checked(spark, sf_dir)))
+    return rows.select("id", "content_hash")
+
+
+def entry_json_sql(stored: str = "") -> str:
+    """All hashed columns of a valid entry, keys in order; `stored` may add the one that follows the first."""
+    return f"""to_json({{
+  'average_score': NULL::BIGINT, {stored}'description': j.description, 'duration': NULL::BIGINT, 'end_day': NULL::BIGINT,
+  'end_month': NULL::BIGINT, 'end_year': NULL::BIGINT, 'episodes': n_chars, 'favourites': NULL::BIGINT, 'format': lang,
+  'genres': [lang], 'id': j.id, 'id_mal': quality::BIGINT, 'popularity': toxic::BIGINT, 'season': NULL::VARCHAR,
+  'season_year': NULL::BIGINT, 'start_day': NULL::BIGINT, 'start_month': 1::BIGINT, 'start_year': n_chars,
+  'status': NULL::VARCHAR, 'studios': [l.source], 'title_english': NULL::VARCHAR,
+  'title_native': CASE WHEN l.source NOT IN ('src11', 'src15') THEN l.source END, 'title_romaji': title_romaji}})"""
+
+HASHES_SQL = f"""
+hashes AS (
+  SELECT j.id, j.doc_id, sha256({entry_json_sql()}::VARCHAR) AS content_hash
+  FROM judged j JOIN labelled l ON j.doc_id = l.doc_id
+  WHERE motivo_rechazo IS NULL
+  QUALIFY row_number() OVER (PARTITION BY j.id ORDER BY source_page DESC, position DESC) = 1)
+"""
+
+
 METRICS_SQL = f"""
 WITH {CATALOGUE_SQL},
 counts AS (
@@ -312,6 +384,17 @@ QUERIES = {
     "bucket_table": (bucket_table, f"""
         WITH {MERGE_SQL} SELECT id, status, ingestion_timestamp, content_hash FROM merged"""),
     "silver_metrics": (silver_metrics, f"{METRICS_SQL} SELECT * FROM runs"),
+    "observed_counters": (observed_counters, f"{METRICS_SQL} SELECT * FROM runs"),
+    "refined_hashes": (refined_hashes, f"WITH {CATALOGUE_SQL}, {HASHES_SQL} SELECT id, content_hash FROM hashes"),
+    "content_digests": (content_digests, f"""
+        WITH {CATALOGUE_SQL}, {HASHES_SQL},
+        digests AS (
+          SELECT ('0x' || sha256({entry_json_sql("'content_hash': h.content_hash, ")}::VARCHAR)[1:15])::BIGINT AS digest
+          FROM hashes h JOIN judged j ON j.doc_id = h.doc_id JOIN labelled l ON l.doc_id = h.doc_id)
+        SELECT step, altered_buckets, count(*) AS rows, sum(digest)::VARCHAR AS digest
+        FROM digests, (VALUES ('first', 0::BIGINT), ('second', 0), ('changed', 1)) steps(step, altered_buckets) GROUP BY ALL"""),
+    "feed_changes": (feed_changes, f"""
+        WITH {MERGE_SQL} SELECT id, content_hash, op FROM merged WHERE op IN ('insert', 'update')"""),
     "check_silver_idempotent": (silver_idempotent, f"""
         {METRICS_SQL}
         SELECT b.filas_nuevas = 0 AS no_new_rows, b.filas_actualizadas = 0 AS no_updates,
