@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,25 +68,31 @@ class HashingEmbedder:
 
 
 class ModelEmbedder:
-    """Any model with `encode(texts) -> (n, dim) array`, loaded once per Python worker by `load`."""
+    """Any model with `encode(texts) -> (n, dim) array`, got from `load` and kept for a Python worker's life.
 
-    def __init__(self, name: str, load: Callable[[], object]):
-        self.name, self.load = name, load
+    Spark's batch inference keeps it: the tasks a worker runs one after the other share the model.
+    """
+
+    def __init__(self, name: str, load: Callable[[], object], batch_rows: int = 1024):
+        self.name, self.load, self.batch_rows = name, load, batch_rows
+        self.predict = None  # kept, as a worker knows a model by its function
 
     def embed(self, description: Column) -> Column:
-        load = self.load
-
-        @F.pandas_udf(VECTOR)
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = None
-            for texts in batches:
-                model = model or load()
-                vectors = np.asarray(model.encode(texts.fillna("").tolist()), dtype=np.float64)
-                norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-                unit = (vectors / np.where(norms == 0, 1.0, norms)).astype(np.float32)
-                yield pd.Series(list(unit))
-
-        return once(encode)(description)
+        if self.predict is None:
+            load = self.load
+
+            def make() -> Callable[[np.ndarray], np.ndarray]:
+                model = load()
+
+                def encode(texts: np.ndarray) -> np.ndarray:
+                    vectors = np.asarray(model.encode([t or "" for t in texts.tolist()]), dtype=np.float64)
+                    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+                    return (vectors / np.where(norms == 0, 1.0, norms)).astype(np.float32)
+
+                return encode
+
+            self.predict = once(predict_batch_udf(make, return_type=VECTOR, batch_size=self.batch_rows))
+        return self.predict(F.coalesce(description, F.lit("")))
 
 
 def embed_descriptions(df: DataFrame, embedder: Embedder, description: str = "description",

@@ -90,7 +90,7 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
 
     `embedded_by` names an engine whose store holds the same texts: its vectors are taken over where their hash agrees.
     `delta_on="feed"` embeds what the table's feed says was inserted or updated since the engine's last run, instead of
-    comparing all ids; without later runs neither the table nor the store is read.
+    comparing all ids; without later runs neither the table nor the store is read. Its first run compares hashes.
     """
     feed = table_feed(refined_table(spark, config)) if delta_on == "feed" else None
     last = feed.last() if feed else -1
@@ -100,15 +100,21 @@ def run_gold(spark: SparkSession, config: JobConfig, run_id: str, engine: str =
     embedder = embedder or HashingEmbedder()
     stored = read_vectors(spark, config.vectors_dir, engine)
     _check_embedder(stored, embedder)
-    held = stored if delta_on == "id" else current_vectors(stored) if delta_on == "hash" else None
+    follows = feed is not None and feed.seen(engine) >= 0
+    delta_on = "hash" if feed else delta_on
+    held = stored if delta_on == "id" else current_vectors(stored)
     before = stored.count()
     scratch = fresh_scratch(spark, config.scratch_dir, run_id)
     refined = refined_table(spark, config).read().select("id", "content_hash", "description")
     # The keys first: with their number known, the texts are fetched by the cheaper kind of join.
-    changed = feed.unseen(engine) if feed else embedding_delta(refined.select("id", "content_hash"), held, delta_on)
+    changed = feed.unseen(engine) if follows else embedding_delta(refined.select("id", "content_hash"), held, delta_on)
     wanted = write_through(changed.select("id"), f"{scratch}/wanted_{engine}")
     added = wanted.count()
     if added == 0:
+        if feed:
+            feed.handled(f"{engine}_vectors", before)
+            feed.handled(engine, last)
+        drop_scratch(spark, scratch)
         return spark.createDataFrame([(engine, 0, before, before)], GOLD_SCHEMA)
     delta = refined.join(wanted, "id", "left_semi")
     if embedded_by is not None:

@@ -20,6 +20,7 @@ from ..sources.journal import current_quarantine, quarantine_rows
 from ..sources.landing import (batch_filename, envelope_text, explode_page_files, land_records,
                                pending_pages, read_landing, valid_pages)
 from ..sources.paths import spread
+from ..streaming.newest import keep_newest
 from .tables import (AS_OF, CATALOGUE_SQL, LATER, MERGE_SQL, PAGE_SIZE, catalogue, clean_sql, merge_sides,
                      quoted, table)
 
@@ -95,6 +96,18 @@ def dedupe_last(spark, sf_dir):
     return keep_last(events, ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
+def stream_newest(spark, sf_dir):
+    """All events as a stream of six batches, the newest of each user kept by state and merged into a table."""
+    folder = fresh_scratch(spark, name="stream")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.unix_micros(F.to_utc_timestamp("ts", "UTC")).alias("at"), "user_id", "event_type", "value")
+    events.repartition(6, "event_id").write.parquet(f"{folder}/arriving")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/arriving")
+    stored = BucketTable(spark, f"{folder}/table", events.schema, key="user_id", buckets=8)
+    keep_newest(arriving, "user_id", ["at", "event_id"], stored, f"{folder}/checkpoint").awaitTermination()
+    return stored.read().drop("at")
+
+
 def refined(spark, sf_dir):
     """Checked, de-duplicated and hashed entries: what a run merges into the table."""
     rows = refined_rows(valid_rows(_checked(spark, sf_dir)))
@@ -369,6 +382,9 @@ QUERIES = {
     "dedupe_last": (dedupe_last, """
         SELECT event_id, user_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),
+    "stream_newest": (stream_newest, """
+        SELECT event_id, user_id, event_type, value FROM events
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""),
     "refined_rows": (refined, f"""
         WITH {CATALOGUE_SQL}
         SELECT j.id, quality::BIGINT AS id_mal, title_romaji, n_chars AS episodes, description,

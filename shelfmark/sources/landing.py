@@ -63,8 +63,8 @@ def land_records(records: DataFrame, timestamp: str, source: str, max_records: i
 
 
 def page_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page file: `file_name` and whole `text`."""
-    return (spark.read.text(path, wholetext=True, pathGlobFilter=BATCH_GLOB)
+    """One row per page file: `file_name` and whole `text`. Folders beside the files are no partitions of them."""
+    return (spark.read.text(path, wholetext=True, pathGlobFilter=BATCH_GLOB, recursiveFileLookup=True)
             .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")))
 
 

@@ -15,17 +15,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
-    """One small file, complete or not there: written beside its place, then renamed."""
-    system, place = file_system(spark, path)
-    _, draft = file_system(spark, f"{path}.tmp")
+    """One small file: written beside its place, then put there in one step. A reader finds the old text or the new one."""
+    system, draft = file_system(spark, f"{path}.tmp")
     stream = system.create(draft, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    system.delete(place, False)
-    if not system.rename(draft, place):
-        raise OSError(f"could not rename {path}.tmp")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    replace = spark._sc._gateway.new_array(rename, 1)
+    replace[0] = rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    files.rename(system.makeQualified(draft), system.makeQualified(hadoop.Path(path)), replace)
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

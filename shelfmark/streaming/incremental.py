@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,14 +34,17 @@ def start_incremental(spark: SparkSession, config: JobConfig, as_of: str, checkp
     batch job where pages are replaced.
     """
     checkpoint = checkpoint or f"{config.silver_dir}/incremental_checkpoint"
+    checkpoint_id = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
     files = (spark.readStream.format("text").option("wholetext", True)
-             .option("pathGlobFilter", BATCH_GLOB).option("maxFilesPerTrigger", max_files)
+             .option("pathGlobFilter", BATCH_GLOB).option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
              .load(config.bronze_dir)
              .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        # Batch numbers begin anew with a new checkpoint; the query's id is the checkpoint's own.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint_id
         records = explode_page_files(batch).withColumn("position", F.col("position").cast("bigint"))
-        refine(batch.sparkSession, config, records, as_of, f"batch_{batch_id}",
+        refine(batch.sparkSession, config, records, as_of, f"batch_{query}_{batch_id}",
                incremental_table(batch.sparkSession, config), order=REPLAY_ORDER)
 
     return (files.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

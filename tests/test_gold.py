@@ -108,6 +108,29 @@ def test_model_embedder_loads_and_normalises(spark):
     assert rows[1]["embedding"] == [0.0, 1.0, 0.0]
 
 
+def test_model_is_loaded_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{folder}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+
+        class Stub:
+            def encode(self, texts):
+                return np.array([[len(t), 1.0] for t in texts])
+        return Stub()
+
+    df = spark.range(64).repartition(32).selectExpr("id", "repeat('x', cast(id as int)) AS description")
+    embedder = ModelEmbedder("stub", load)
+    for _ in range(2):
+        rows = {r["id"]: r["embedding"] for r in embed_descriptions(df, embedder).collect()}
+        assert all(np.allclose(rows[k], np.array([k, 1]) / np.hypot(k, 1)) for k in range(64))
+    loads = [name.name.split("-")[0] for name in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads)) < 32  # 64 tasks
+
+
 def unit_rows(n, dim, seed):
     rng = np.random.default_rng(seed)
     rows = rng.normal(size=(n, dim)).astype(np.float32)

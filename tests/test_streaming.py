@@ -1,7 +1,12 @@
+import pandas as pd
+import pytest
+
 from entries import entry, write_page
 from shelfmark.config import JobConfig
+from shelfmark.sources.buckets import BucketTable
 from shelfmark.sources.journal import read_quarantine
 from shelfmark.streaming.incremental import incremental_table, start_incremental
+from shelfmark.streaming.newest import keep_newest, newest_rows
 
 
 def process(spark, config):
@@ -33,3 +38,42 @@ def test_each_file_once_and_late_files_do_not_undo_later_ones(spark, tmp_path):
     write_page(config.bronze_dir, 3, [entry(1, episodes=3), entry(2, episodes=3), entry(3, episodes=3)], "t3")
     process(spark, config)
     assert rows(spark, config) == {1: (5, "t5", 5), 2: (1, "t1", 5), 3: (3, "t3", 3)}
+
+
+def test_rejects_of_another_checkpoint_are_kept(spark, tmp_path):
+    config = JobConfig(bronze_dir=str(tmp_path / "bronze"), silver_dir=str(tmp_path / "silver"), scratch_dir=str(tmp_path / "scratch"))
+    write_page(config.bronze_dir, 1, [entry(1), entry(9, description="")], "t1")
+    for name in ("lost", "new"):
+        start_incremental(spark, config, "2024-05-02", str(tmp_path / name)).awaitTermination()
+    assert read_quarantine(spark, config.quarantine_dir).select("run_id").distinct().count() == 2
+
+
+ARRIVING = "id long, page long, name string, word string"
+
+
+def test_state_keeps_the_newest_over_batches_and_restarts(spark, tmp_path):
+    def arrive(name, rows):
+        spark.createDataFrame(rows, ARRIVING).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    def process():
+        rows = spark.readStream.schema(ARRIVING).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+        query = keep_newest(rows, "id", ["page", "name"], table, str(tmp_path / "checkpoint"), str(tmp_path / "scratch"))
+        query.awaitTermination()
+        return {r["id"]: r["word"] for r in table.read().collect()}
+
+    table = BucketTable(spark, str(tmp_path / "table"), spark.createDataFrame([], ARRIVING).schema, buckets=2)
+    arrive("a", [(1, 5, "x", "old"), (1, 5, "y", "newest of its batch"), (2, None, None, "no place"), (None, 1, "a", "no key"),
+                 (3, 1, "a", "first"), (3, 1, "a", "repeated")] + [(9, k, "hot", f"row {k}") for k in range(3_000)])
+    assert process() == {1: "newest of its batch", 2: "no place", 3: "first", 9: "row 2999"}
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("part-*")}
+    arrive("b", [(1, 5, "x", "late"), (1, 4, "z", "late"), (2, None, None, "again"), (9, 17, "hot", "late")])
+    assert process() == {1: "newest of its batch", 2: "no place", 3: "first", 9: "row 2999"}
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("part-*")}  # nothing was merged
+    arrive("c", [(1, 6, "a", "newer"), (2, 0, None, "placed"), (2 ** 60 + 1, 2 ** 60 + 1, "a", "large"), (2 ** 60 + 1, 2 ** 60, "a", "less")])
+    assert process() == {1: "newer", 2: "placed", 3: "first", 9: "row 2999", 2 ** 60 + 1: "large"}
+    assert process() == {1: "newer", 2: "placed", 3: "first", 9: "row 2999", 2 ** 60 + 1: "large"}
+
+
+def test_order_columns_must_compare(spark):
+    with pytest.raises(ValueError):
+        newest_rows(spark.createDataFrame(pd.DataFrame({"id": [1], "at": [0.5]})), "id", ["at"])
