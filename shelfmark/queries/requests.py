@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.dedupe import keep_last
 from ..operators.responses import (fetch_outcomes, landing_summary, number_attempts, pacing_audit, page_results,
                                    route_responses)
-from ..scratch import staged
+from ..scratch import fresh_scratch, staged
 from ..sources.journal import open_failures
 from ..sources.landing import pending_pages
+from ..streaming.outcomes import OUTCOME_SCHEMA, streamed_outcomes
 from .tables import AS_OF, REQUEST_LOG_SQL, request_log, table
 
 
@@ -28,6 +30,26 @@ def outcomes(spark, sf_dir):
         F.round("wait_seconds", 6).alias("wait_seconds"))
 
 
+def outcomes_streamed(spark, sf_dir):
+    """The whole log as a stream of six spans of time and a last one that only moves the time on; each page as last told."""
+    folder = fresh_scratch(spark, name="requests")
+    log = request_log(spark, sf_dir).select(
+        "page", F.timestamp_micros(_micros(F.col("ts"))).alias("ts"), F.col("event_id").alias("number"), "status", "retry_after", "body")
+    at, day = F.unix_micros("ts"), 86_400_000_000
+    first, last = log.agg(F.min(at), F.max(at)).first()
+    span = F.floor((at - first) * 6 / (last - first + 1))
+    beat = spark.range(1).select(*(
+        (F.timestamp_micros(F.lit(last + day)) if c == "ts" else F.lit(None).cast(log.schema[c].dataType)).alias(c) for c in log.columns))
+    for k in range(6):
+        log.filter(span == k).coalesce(1).write.parquet(f"{folder}/arriving/{k}")
+    beat.coalesce(1).write.parquet(f"{folder}/arriving/6")
+    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/arriving/*")
+    (streamed_outcomes(arriving).writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+     .trigger(availableNow=True).start(f"{folder}/told").awaitTermination())
+    told = spark.read.schema(OUTCOME_SCHEMA).parquet(f"{folder}/told")
+    return keep_last(told, ["page"], ["attempts"]).withColumn("wait_seconds", F.round("wait_seconds", 6))
+
+
 def _results(spark, sf_dir):
     attempts = _attempts(spark, sf_dir)
     return page_results(attempts, staged(fetch_outcomes(attempts)))
@@ -85,6 +107,16 @@ pending AS (
 """
 _LEDGER_SQL = f"SELECT page, reason, '{AS_OF}' AS recorded_at FROM results WHERE reason IS NOT NULL"
 
+OUTCOMES_SQL = f"""
+        WITH {REQUEST_LOG_SQL},
+        waits AS (
+          SELECT n.page, sum(CASE WHEN n.status = 429 THEN coalesce(retry_after, 1) ELSE 2.0 ** n.attempt END)
+                 FILTER (n.retryable AND n.attempt < 4 AND n.attempt < coalesce(d.deciding_attempt, 5)) AS wait
+          FROM numbered n JOIN decided d ON n.page = d.page GROUP BY n.page)
+        SELECT d.page, d.outcome, d.attempts, d.last_status::BIGINT AS last_status,
+               round(coalesce(w.wait, 0), 6) AS wait_seconds
+        FROM decided d JOIN waits w ON d.page = w.page"""
+
 QUERIES = {
     "route_responses": (routed, f"""
         WITH {REQUEST_LOG_SQL}
@@ -94,15 +126,8 @@ QUERIES = {
                CASE WHEN route = 'page' THEN array_to_string(json_extract(body, '$.data.Page.media[*]'), ';')
                END AS records
         FROM log"""),
-    "fetch_outcomes": (outcomes, f"""
-        WITH {REQUEST_LOG_SQL},
-        waits AS (
-          SELECT n.page, sum(CASE WHEN n.status = 429 THEN coalesce(retry_after, 1) ELSE 2.0 ** n.attempt END)
-                 FILTER (n.retryable AND n.attempt < 4 AND n.attempt < coalesce(d.deciding_attempt, 5)) AS wait
-          FROM numbered n JOIN decided d ON n.page = d.page GROUP BY n.page)
-        SELECT d.page, d.outcome, d.attempts, d.last_status::BIGINT AS last_status,
-               round(coalesce(w.wait, 0), 6) AS wait_seconds
-        FROM decided d JOIN waits w ON d.page = w.page"""),
+    "fetch_outcomes": (outcomes, OUTCOMES_SQL),
+    "streamed_outcomes": (outcomes_streamed, OUTCOMES_SQL),
     "landing_results": (landed_pages, f"""
         WITH {REQUEST_LOG_SQL}
         SELECT page, landed, reason,

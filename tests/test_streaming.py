@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta
+
 import pandas as pd
 import pytest
 
@@ -6,6 +8,7 @@ from shelfmark.config import JobConfig
 from shelfmark.sources.buckets import BucketTable
 from shelfmark.sources.journal import read_quarantine
 from shelfmark.streaming.incremental import incremental_table, start_incremental
+from shelfmark.streaming.outcomes import OUTCOME_SCHEMA, streamed_outcomes
 from shelfmark.streaming.newest import keep_newest, newest_rows
 
 
@@ -77,3 +80,29 @@ def test_state_keeps_the_newest_over_batches_and_restarts(spark, tmp_path):
 def test_order_columns_must_compare(spark):
     with pytest.raises(ValueError):
         newest_rows(spark.createDataFrame(pd.DataFrame({"id": [1], "at": [0.5]})), "id", ["at"])
+
+
+REQUESTS = "page long, ts timestamp, number long, status int, retry_after double, body string"
+
+
+def test_pages_are_decided_by_requests_and_timers(spark, tmp_path):
+    def arrive(name, rows):
+        rows = [(page, datetime(2024, 5, 1) + timedelta(seconds=at), n, status, after, None)
+                for n, (page, at, status, after) in enumerate(rows)]
+        spark.createDataFrame(rows, REQUESTS).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    def told():
+        rows = spark.readStream.schema(REQUESTS).parquet(str(tmp_path / "in" / "*"))
+        (streamed_outcomes(rows, "10 seconds").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "checkpoint"))
+         .trigger(availableNow=True).start(str(tmp_path / "told")).awaitTermination())
+        return sorted(tuple(r) for r in spark.read.schema(OUTCOME_SCHEMA).parquet(str(tmp_path / "told")).collect())
+
+    ok, failed, left = (1, "ok", 2, 200, 2.0), (2, "exhausted", 4, 503, 14.0), (3, "undecided", 1, 429, 60.0)
+    arrive("a", [(1, 3, 200, None), (1, 1, 503, None), *((2, k, 503, None) for k in range(5)), (3, 5, 429, 60.0), (4, 6, 404, None),
+                 (None, 30, None, None)])
+    assert told() == [ok, failed, (4, "other_status", 1, 404, 0.0)]  # the wait of page 3 is not over
+    arrive("b", [(1, 40, 200, None), (5, 100, None, None), (None, 101, None, None)])
+    assert told() == [ok, failed, left, (4, "other_status", 1, 404, 0.0)]
+    arrive("c", [(3, 110, 200, None), (5, 102, 200, None), (None, 300, None, None)])
+    assert told() == [ok, failed, (3, "ok", 2, 200, 60.0), left, (4, "other_status", 1, 404, 0.0), (5, "ok", 2, 200, 2.0)]
+    assert len(told()) == 6
