@@ -9,7 +9,8 @@ from ..config import JobConfig
 from ..operators.responses import fetch_outcomes, landing_summary, pacing_audit, page_results
 from ..scratch import drop_scratch, fresh_scratch, write_through
 from ..sources.journal import append_failures
-from ..sources.landing import land_records, landing_table, pending_pages, write_landing
+from ..sources.landing import land_records, landing_table, write_landing
+from ..sources.page_sets import missing_pages, page_bitmaps
 
 
 def landed_pages(spark: SparkSession, config: JobConfig) -> DataFrame:
@@ -24,12 +25,13 @@ def run_landing(spark: SparkSession, config: JobConfig, attempts: DataFrame, as_
     the others; pages landed before are not looked at again. Large pages are landed in parts of `per_page` records.
     """
     scratch = fresh_scratch(spark, config.scratch_dir, run_id)
-    done = landed_pages(spark, config)
     if config.paginas is None:
+        done = landed_pages(spark, config)
         logged = write_through(attempts.select(F.col("page").cast("bigint").alias("page")).distinct(), f"{scratch}/logged")
         pending, asked = logged.join(done, "page", "left_anti"), logged.count()
     else:
-        pending, asked = pending_pages(done, config.paginas), config.paginas
+        landed_set = page_bitmaps(landing_table(spark, config.landing_dir).withColumnRenamed("source_page", "page"))
+        pending, asked = missing_pages(landed_set, config.paginas), config.paginas
     pending = write_through(pending, f"{scratch}/pending")
     wanted = attempts.join(pending, "page", "left_semi")
     # Outcomes are narrow; once they are written out, Spark knows how to join the bodies to them.

@@ -19,6 +19,7 @@ from ..sources.buckets import BucketTable
 from ..sources.journal import current_quarantine, quarantine_rows
 from ..sources.landing import (batch_filename, envelope_text, explode_page_files, land_records,
                                pending_pages, read_landing, valid_pages)
+from ..sources.page_sets import merged_bitmaps, missing_pages, page_bitmaps
 from ..sources.paths import spread
 from ..streaming.newest import keep_newest
 from .tables import (AS_OF, CATALOGUE_SQL, LATER, MERGE_SQL, PAGE_SIZE, catalogue, clean_sql, merge_sides,
@@ -333,6 +334,13 @@ def pages_left(spark, sf_dir):
     return pending_pages(whole_pages(spark, sf_dir), last)
 
 
+def pages_missing(spark, sf_dir):
+    """The pages left by the merged bitmaps of three landing runs, each with its share of the pages."""
+    last = table(spark, sf_dir, "documents").agg(F.max("doc_id")).first()[0] + 1
+    runs = page_bitmaps(whole_pages(spark, sf_dir).withColumn("landing_run", F.col("page") % 3), "landing_run")
+    return missing_pages(merged_bitmaps(staged(runs)), last)
+
+
 DONE_SQL = "lang NOT IN ('de', 'fr', 'es') AND source <> 'src0'"
 
 
@@ -433,6 +441,9 @@ QUERIES = {
     "pending_pages": (pages_left, f"""
         SELECT page FROM (SELECT unnest(range(1, (SELECT max(doc_id) + 2 FROM documents))) AS page)
         WHERE page NOT IN (SELECT doc_id + 1 FROM documents WHERE {DONE_SQL})"""),
+    "missing_pages": (pages_missing, f"""
+        SELECT page FROM (SELECT unnest(range(1, (SELECT max(doc_id) + 2 FROM documents))) AS page)
+        WHERE page NOT IN (SELECT doc_id + 1 FROM documents WHERE {DONE_SQL})"""),
     "synopsis_preview": (previews, f"""
         SELECT doc_id, {preview_sql('text')} AS synopsis,
                CASE WHEN length(text) > 160
