@@ -149,8 +149,8 @@ def _bounds(codes: DataFrame, asked: pa.Table, k: int, books: Codebooks) -> Data
                 middle = estimates(tables[:, some], matrix)
                 width = lengths[some, None] * errors + ROUNDING
                 low = middle - width
-                best[some] = -np.sort(-np.concatenate([best[some], low], axis=1), axis=1)[:, :k]
-                floor[some] = best[some, k - 1]
+                best[some] = np.partition(np.concatenate([best[some], low], axis=1), -k, axis=1)[:, -k:]
+                floor[some] = best[some].min(axis=1)
                 row, column = np.nonzero(middle + width >= floor[some, None])
                 found = row + start, ids[column], low[row, column], (middle + width)[row, column]
                 kept = [np.concatenate(x) for x in zip(kept, found)]
