@@ -1,11 +1,12 @@
 """Best-fit packing: documents into as few sequences of bounded length as possible.
 
 Only the histogram of piece lengths, at most `capacity` numbers, reaches the driver. A configuration says how many
-pieces of each length one sequence takes. The linear program that chooses them is solved by
-multiplicative weights: a length weighs more the less of it is covered; a knapsack by dynamic programming
-finds the sequences worth most under these weights; some of each are taken and the weights change. The amounts
-are rounded down. What is left, at most a few pieces of each configuration, is filled longest first, where each
-filling uses a length up. Pieces then find their place by their rank among pieces of the same length.
+pieces of each length one sequence takes. The linear program wants the fewest sequences whose configurations cover every
+length's count. It is solved by multiplicative weights: a length weighs more the less of it is covered; a knapsack by dynamic
+programming finds what sequences are worth most under these weights, configurations worth about that much are taken, and the
+weights change. Weights over the worth of the best sequence also bound the program from below. Amounts are rounded down;
+then configurations with the largest remainders are taken once more, pieces that ran out replaced by others that fill the
+sequence. What is left is filled longest first. Pieces then find their place by their rank among pieces of the same length.
 """
 
 from __future__ import annotations
@@ -101,61 +102,106 @@ def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CA
 
 
 def knapsack(worth: np.ndarray) -> np.ndarray:
-    """For each capacity, the length to take next in a sequence of most worth; 0: leave one token free.
+    """The most a sequence of each capacity can be worth.
 
     worth[s]: of one piece of length s, -inf where there is none. Pieces may be taken again and again.
     """
-    capacity = len(worth) - 1
-    best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    for c in range(1, capacity + 1):
-        values = best[c - 1::-1] + worth[1:c + 1] if c > 1 else best[:1] + worth[1:2]
-        k = int(values.argmax())
-        if values[k] > best[c - 1]:
-            best[c], take[c] = values[k], k + 1
-        else:
-            best[c] = best[c - 1]
-    return take
-
-
-def _filled(first: int, take: np.ndarray) -> Pattern:
-    free, counts = len(take) - 1 - first, {first: 1}
-    while free > 0:
-        s = int(take[free])
-        if s:
-            counts[s] = counts.get(s, 0) + 1
-        free -= s or 1
-    return tuple(sorted(counts.items(), reverse=True))
-
-
-def fractional(counts: np.ndarray, rounds: int = 40, step: float = 0.5, rate: float = 4.0) -> dict[Pattern, float]:
-    """Amounts of configurations that cover most of `counts` (by length) and never more than there is.
-
-    A round takes at most the share `step` of any length.
+    best = np.zeros(len(worth))
+    for c in range(1, len(worth)):
+        best[c] = max(best[c - 1], (best[:c][::-1] + worth[1:c + 1]).max())
+    return best
+
+
+def _filled(first: int, best: np.ndarray, worth: np.ndarray, lengths: np.ndarray) -> Pattern:
+    """The configuration worth most with a piece of length `first` and others of `lengths`; of equal ones the longer piece."""
+    free, counts = len(best) - 1 - first, {first: 1}
+    while True:
+        fitting = lengths[:np.searchsorted(lengths, free, "right")]
+        if not len(fitting):
+            return tuple(sorted(counts.items(), reverse=True))
+        s = int(fitting[(best[free - fitting] + worth[fitting] + 1e-9 * fitting).argmax()])
+        counts[s] = counts.get(s, 0) + 1
+        free -= s
+
+
+def fractional(counts: np.ndarray, rounds: int = 12, step: float = 0.5, rate: float = 2.0, near: float = 0.98) -> tuple[dict[Pattern, float], float]:
+    """Amounts of configurations that cover `counts` (by length) exactly, and a lower bound on the sum of any such amounts.
+
+    A round takes at most the share `step` of what is left of a length, in configurations worth at least the share
+    `near` of the best one; the last round takes all that is left.
     """
-    capacity = len(counts) - 1
-    present = counts > 0
-    left, amounts = counts.astype(float), {}
-    for _ in range(rounds):
-        share = np.divide(left, counts, out=np.zeros_like(left), where=present)
-        open_ = share > 1e-9
-        if not open_.any():
+    capacity, lengths = len(counts) - 1, np.flatnonzero(counts)
+    left, amounts, bound = counts.astype(float), {}, 0.0
+    for k in range(rounds):
+        share = left[lengths] / counts[lengths]
+        open_ = lengths[share > 0]
+        if not len(open_):
             break
         # log of the weight: rate * (share not yet covered); a full sequence is worth about the same everywhere
-        worth = np.where(open_, np.arange(capacity + 1) / capacity * np.exp(rate * (share - share[present].max())), -np.inf)
-        take = knapsack(worth)
-        allowed = np.minimum(left, step * counts)
-        for first in np.flatnonzero(open_)[::-1]:
-            if allowed[first] <= 0:
-                continue
-            pattern = _filled(int(first), take)
-            amount = min(allowed[s] / n for s, n in pattern)
-            if amount > 0:
+        worth = np.full(capacity + 1, -np.inf)
+        worth[open_] = open_ / capacity * np.exp(rate * (share[share > 0] - share.max()))
+        best = knapsack(worth)
+        bound = max(bound, float((counts[open_] * worth[open_]).sum() / best[capacity]))
+        last = k == rounds - 1
+        allowed = left if last else left * step
+        if not last:
+            left = left - allowed
+        for first in open_[::-1].tolist():
+            while allowed[first] > 0:
+                pattern = _filled(first, best, worth, open_[allowed[open_] > 0])
+                if not last and sum(worth[s] * n for s, n in pattern) < near * best[capacity]:
+                    break
+                amount = min(allowed[s] / n for s, n in pattern)
                 for s, n in pattern:
-                    allowed[s] -= amount * n
-                    left[s] -= amount * n
+                    allowed[s] = max(0.0, allowed[s] - amount * n)
+                    if allowed[s] < 1e-9:
+                        allowed[s] = 0.0
                 amounts[pattern] = amounts.get(pattern, 0.0) + amount
-        left = np.maximum(left, 0)
-    return amounts
+        if not last:
+            left = left + allowed
+    return amounts, bound
+
+
+def _refilled(pattern: Pattern, left: np.ndarray) -> tuple[Pattern, int]:
+    """`pattern` with what there is of its pieces, the gap filled by others, exactly if one or two do; and the tokens free."""
+    counts = {s: min(n, int(left[s])) for s, n in pattern if left[s]}
+    rest, free = left.copy(), len(left) - 1
+    for s, n in counts.items():
+        rest[s] -= n
+        free -= s * n
+    while free:
+        lengths = np.flatnonzero(rest[:free + 1])
+        if not len(lengths):
+            break
+        pairs = lengths[(rest[free - lengths] > 0) & ((2 * lengths != free) | (rest[lengths] > 1))]
+        half = lengths[lengths <= free // 2]
+        s = free if rest[free] else int((pairs if len(pairs) else half if len(half) else lengths)[-1])
+        counts[s] = counts.get(s, 0) + 1
+        rest[s] -= 1
+        free -= s
+    return tuple(sorted(counts.items(), reverse=True)), free
+
+
+def rounded(amounts: dict[Pattern, float], counts: np.ndarray) -> tuple[list[tuple[Pattern, int]], np.ndarray]:
+    """Whole numbers of configurations, none with more tokens free than the amounts leave on average; and the pieces left."""
+    capacity, left, chosen = len(counts) - 1, counts.astype(np.int64).copy(), []
+    slack = capacity - float((counts * np.arange(capacity + 1)).sum()) / max(sum(amounts.values()), 1e-9)
+
+    def use(pattern: Pattern, times: int) -> None:
+        for s, n in pattern:
+            left[s] -= n * times
+        chosen.append((pattern, times))
+
+    by_fill = {p: a for p, a in amounts.items() if capacity - sum(s * n for s, n in p) <= slack}
+    for pattern, amount in by_fill.items():
+        times = min(int(amount + 1e-6), *(int(left[s]) // n for s, n in pattern))
+        if times:
+            use(pattern, times)
+    for pattern, _ in sorted(amounts.items(), key=lambda x: -(x[1] % 1)):
+        whole, free = _refilled(pattern, left)
+        if whole and free <= slack:
+            use(whole, 1)
+    return chosen, left
 
 
 def longest_first(left: np.ndarray) -> list[tuple[Pattern, int]]:
@@ -181,15 +227,13 @@ def longest_first(left: np.ndarray) -> list[tuple[Pattern, int]]:
 
 
 def plan(counts: np.ndarray) -> list[tuple[Pattern, int]]:
-    """Configurations and how often each is used; together they take every piece exactly once."""
-    left, chosen = counts.astype(np.int64).copy(), []
-    for pattern, amount in sorted(fractional(counts).items(), key=lambda x: -x[1]):
-        times = min(int(amount + 1e-6), *(int(left[s]) // n for s, n in pattern))
-        if times:
-            for s, n in pattern:
-                left[s] -= n * times
-            chosen.append((pattern, times))
-    return chosen + longest_first(left)
+    """Configurations and how often each is used; together they take every piece exactly once.
+
+    Where longest first alone needs fewer sequences, which it can if few sequences can be full, its fillings are returned.
+    """
+    chosen, left = rounded(fractional(counts)[0], counts)
+    chosen, plain = chosen + longest_first(left), longest_first(counts.astype(np.int64))
+    return min(chosen, plain, key=lambda fillings: sum(times for _, times in fillings))
 
 
 class Places:

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from cases import frame, rows
+from cases import SMALL, frame, rows
 from pyspark.sql import functions as F
 
 from shelfmark.llm import packing
@@ -30,15 +30,10 @@ def test_knapsack_is_best():
     for _ in range(20):
         worth = np.where(draw.random(31) < 0.4, draw.random(31), -np.inf)
         worth[0] = -np.inf
-        take = packing.knapsack(worth)
         best = np.zeros(31)
         for c in range(1, 31):
             best[c] = max([best[c - 1], *(best[c - s] + worth[s] for s in range(1, c + 1))])
-        free, total = 30, 0.0
-        while free:
-            total += worth[take[free]] if take[free] else 0
-            free -= take[free] or 1
-        assert total == pytest.approx(best[30])
+        assert packing.knapsack(worth) == pytest.approx(best)
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -58,13 +53,33 @@ def test_plan_takes_every_piece_once(seed):
     assert needed <= used <= sum(times for _, times in packing.longest_first(counts)) * 1.01 + 1
 
 
-def test_program_covers_a_good_part_with_full_sequences():
+@pytest.mark.parametrize("lengths", [range(1, 257), range(60, 128), (40, 90, 100, 130), (200,)])
+def test_program_covers_all_and_is_near_its_bound(lengths):
     counts = np.zeros(257, np.int64)
-    counts[1:] = np.random.default_rng(1).integers(500, 2_000, 256)
-    amounts = packing.fractional(counts)
-    covered = sum(a * sum(s * n for s, n in p) for p, a in amounts.items())
-    assert covered > 0.4 * (counts * np.arange(257)).sum()
-    assert covered > 0.99 * 256 * sum(amounts.values())
+    counts[list(lengths)] = np.random.default_rng(1).integers(500, 2_000, len(lengths))
+    amounts, bound = packing.fractional(counts)
+    covered = np.zeros(257)
+    for pattern, amount in amounts.items():
+        assert sum(s * n for s, n in pattern) <= 256 and amount > 0
+        for s, n in pattern:
+            covered[s] += amount * n
+    assert covered == pytest.approx(counts)
+    # No packing, not even in fractions, is below the bound; longest first is one from above.
+    assert (counts * np.arange(257)).sum() / 256 <= bound * (1 + 1e-9) <= sum(t for _, t in packing.longest_first(counts)) + 1e-6
+    assert sum(amounts.values()) <= (1.01 if len(lengths) > 100 else 1.25) * bound
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_configurations_place_the_pieces_of_the_table(spark, sf):
+    docs = spark.read.parquet(f"{SMALL.rsplit('/', 1)[0]}/{sf}/documents.parquet")
+    counts = np.zeros(packing.CAPACITY + 1, np.int64)
+    for r in packing.token_pieces(docs).groupBy("length").count().collect():
+        counts[r["length"]] = r["count"]
+    chosen, left = packing.rounded(packing.fractional(counts)[0], counts)
+    assert left.sum() < 0.05 * counts.sum()
+    fillings = chosen + packing.longest_first(left)
+    assert packing.plan(counts) == fillings
+    assert sum(t for _, t in fillings) == -(-int((counts * np.arange(len(counts))).sum()) // packing.CAPACITY)
 
 
 def _check_places(placed, capacity):
