@@ -13,14 +13,14 @@ passage nor a group of copies makes a hot key. Windows are compared by 128-bit h
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buckets_for, documents_of, free_name, slices_of, spread_of, text_bytes, utf8
+from .common import buckets_for, documents_of, free_name, return_freed_memory, slices_of, spread_of, text_bytes, utf8
 
 WINDOW = 20
 PERIOD, COVER = 13, (0, 1, 3, 9)  # every difference modulo 13 is one of two numbers of the cover
@@ -30,12 +30,12 @@ BUCKET_KEYS = 1 << 20
 
 
 class Words:
-    """The words of a text, and the bytes of any run of them joined by blanks."""
+    """The number of a text's words, and the bytes of any run of them joined by blanks. The words themselves take ten times the text."""
 
     def __init__(self, text: bytes):
-        self.words = text.split()
-        self.joined = b" ".join(self.words)
-        lengths = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        words = text.split()
+        self.n, self.joined = len(words), b" ".join(words)
+        lengths = np.fromiter(map(len, words), np.int64, self.n)
         self.stops = np.cumsum(lengths + 1) - 1
         self.starts = self.stops - lengths
 
@@ -64,7 +64,7 @@ class Batch:
     def __init__(self, rows: pd.DataFrame):
         self.doc_id = rows["doc_id"].to_numpy()
         self.words = [Words(text) for text in rows["text"]]
-        self.at = [cover_positions(len(w.words)) for w in self.words]
+        self.at = [cover_positions(w.n) for w in self.words]
         self.anchors = [_anchors(w, at) for w, at in zip(self.words, self.at)]
 
     def distinct_anchors(self) -> tuple[np.ndarray, np.ndarray]:
@@ -84,12 +84,12 @@ class Batch:
         for row, (words, at, anchor) in enumerate(zip(self.words, self.at, self.anchors)):
             if not len(at):
                 continue
-            marks = np.zeros(len(words.words) + 1, np.int64)
+            marks = np.zeros(words.n + 1, np.int64)
             found = np.searchsorted(repeated, anchor)
             found[found == len(repeated)] = 0
             marks[1 + at[repeated[found] == anchor if len(repeated) else np.zeros(len(at), bool)]] = 1
             before = np.cumsum(marks)
-            start = np.arange(len(words.words) - WINDOW + 1)
+            start = np.arange(words.n - WINDOW + 1)
             start = start[before[start + PERIOD] > before[start]]
             rows.append(np.full(len(start), row))
             starts.append(start)
@@ -110,7 +110,7 @@ class Batch:
         row, start = self.row[self.order], self.start[self.order]
         later = (self.doc_id[row] != self.first[self.of]) | (start != self.first_start[self.of])
         gone = foreign[self.of] | later
-        marks = [np.zeros(len(w.words) + 1, np.int64) for w in self.words]
+        marks = [np.zeros(w.n + 1, np.int64) for w in self.words]
         row, start = row[gone], start[gone]
         by_row = np.argsort(row, kind="stable")
         for r, a, b in slices_of(row[by_row]):
@@ -129,6 +129,14 @@ def _which(rows: pd.DataFrame, column: str, width: int) -> np.ndarray:
     return np.repeat(np.arange(len(rows)), [len(x) // width for x in rows[column]])
 
 
+def _tidied(work: Callable[..., pd.DataFrame], *frames: pd.DataFrame) -> pd.DataFrame:
+    """What `work` gives; the worker keeps nothing of what it took, as the next stages run in the same workers."""
+    try:
+        return work(*frames)
+    finally:
+        return_freed_memory()
+
+
 def _cut(text: bytes, gone: np.ndarray) -> bytes:
     """The text without the words that go; what is kept stays as it stood, runs are joined by a blank."""
     if not gone.any():
@@ -225,12 +233,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     answer_schema = "batch int, bucket int, anchors binary, foreign binary"
     by_batch = placed.groupBy("batch")
-    anchors = (by_batch.applyInPandas(ask_anchors, "bucket int, batch int, keys binary")
-               .groupBy("bucket").applyInPandas(answer_anchors, answer_schema))
+    anchors = (by_batch.applyInPandas(lambda rows: _tidied(ask_anchors, rows), "bucket int, batch int, keys binary")
+               .groupBy("bucket").applyInPandas(lambda rows: _tidied(answer_anchors, rows), answer_schema))
     windows = (by_batch.cogroup(anchors.groupBy("batch")).applyInPandas(
-                   ask_windows, "bucket int, batch int, keys binary, docs binary")
-               .groupBy("bucket").applyInPandas(answer_windows, answer_schema))
-    kept = by_batch.cogroup(anchors.unionAll(windows).groupBy("batch")).applyInPandas(keep, kept_schema)
+                   lambda rows, answers: _tidied(ask_windows, rows, answers), "bucket int, batch int, keys binary, docs binary")
+               .groupBy("bucket").applyInPandas(lambda rows: _tidied(answer_windows, rows), answer_schema))
+    kept = by_batch.cogroup(anchors.unionAll(windows).groupBy("batch")).applyInPandas(
+        lambda rows, answers: _tidied(keep, rows, answers), kept_schema)
     unnamed = named.where("doc_id is null").mapInPandas(whole, kept_schema)
     return kept.unionAll(unnamed)
 

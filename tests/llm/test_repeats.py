@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 from itertools import product
 
+import pandas as pd
 import pytest
 from cases import frame, prose, rows, texts_of
 
@@ -64,6 +66,16 @@ def test_random_passages_and_copies(spark, monkeypatch):
     assert sum(r[2] for r in want) > 1_000
 
 
+def test_a_batch_holds_little_more_than_its_texts():
+    rows_ = pd.DataFrame({"doc_id": range(20), "text": [prose(k, 10_000).encode() for k in range(20)]})
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    batch = repeats.Batch(rows_)
+    held = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert len(batch.words) == 20 and held < 6 * rows_["text"].map(len).sum()
+
+
 def test_cut_text_keeps_its_form(spark):
     passage = prose(1, 30)
     docs = [(1, f"start\n\n{passage} end", *[None] * 14), (2, f"one  two\nthree {passage}\nfour   five", *[None] * 14),
