@@ -16,7 +16,7 @@ from ..operators.merge import INSERT, UPDATE, change_counters, merge_changes
 from ..operators.metrics import route_counters
 from ..schemas import HASHED_COLUMNS, LONG, REFINED_COLUMNS, REFINED_SCHEMA, RUN_METRICS
 from ..scratch import drop_scratch, fresh_scratch, staged, write_through
-from ..sources.buckets import BucketTable
+from ..sources.buckets import COMPRESSION, BucketTable
 from ..sources.feed import ChangeFeed
 from ..sources.journal import quarantine_rows, write_quarantine
 from ..sources.landing import landing_table, read_landing, read_page_files, relanded_pages
@@ -62,7 +62,8 @@ def refine(spark: SparkSession, config: JobConfig, records: DataFrame, as_of: st
     checked = checked.withColumn("is_valid", F.col("motivo_rechazo").isNull()).withColumn(
         "payload", F.when(F.col("motivo_rechazo").isNotNull(), F.col("payload")))
     routed, changed = Observation("routed"), Observation("changed")
-    checked = write_through(checked.observe(routed, *route_counters()), f"{scratch}/checked", ["is_valid"])
+    checked = write_through(checked.observe(routed, *route_counters()), f"{scratch}/checked", ["is_valid"],
+                            compression=COMPRESSION)
     valid_count, rejected_count = (routed.get[c] for c in ("filas_validas", "filas_en_cuarentena"))
     if rejected_count:
         rejected = checked.filter(~F.col("is_valid"))
@@ -72,7 +73,7 @@ def refine(spark: SparkSession, config: JobConfig, records: DataFrame, as_of: st
     if valid_count:
         source = refined_rows(checked.filter("is_valid"), keep=order)
         changes = merge_changes(table.read(), source, order=order).observe(changed, *change_counters())
-        changes = write_through(changes, f"{scratch}/changes")
+        changes = write_through(changes, f"{scratch}/changes", compression=COMPRESSION)
         inserted, updated = (changed.get[c] for c in ("filas_nuevas", "filas_actualizadas"))
         if table.apply(changes, scratch) and inserted + updated:
             table_feed(table).append(changes.filter(F.col("op").isin(INSERT, UPDATE)))

@@ -14,8 +14,8 @@ from ..operators.metrics import metrics_pivot, route_counts, run_metrics
 from ..config import JobConfig
 from ..plans.silver_job import refine, refined_rows, table_feed
 from ..schemas import REFINED_COLUMNS, REFINED_SCHEMA
-from ..scratch import fresh_scratch, staged
-from ..sources.buckets import BucketTable
+from ..scratch import fresh_scratch, staged, write_through
+from ..sources.buckets import COMPRESSION, BucketTable
 from ..sources.journal import current_quarantine, quarantine_rows
 from ..sources.landing import (batch_filename, envelope_text, explode_page_files, land_records,
                                pending_pages, read_landing, valid_pages)
@@ -184,7 +184,8 @@ def content_digests(spark, sf_dir):
     second = kept("second")
     least = stored.read().agg(F.min("id")).first()[0]
     changed = F.when(F.col("id") == least, F.coalesce("episodes", F.lit(0)) + 1).otherwise(F.col("episodes"))
-    stored._write(staged(stored.read().withColumn("episodes", changed)), stored.buckets())
+    altered = write_through(stored.read().withColumn("episodes", changed), fresh_scratch(spark), compression=COMPRESSION)
+    stored._write(altered, stored.buckets())
     return first.unionByName(second).unionByName(kept("changed"))
 
 

@@ -35,8 +35,10 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns `doc_id, source_page, file_name, position, ingestion_timestamp, payload`.
     """
-    documents = spread(table(spark, sf_dir, "documents"))
-    labels = table(spark, sf_dir, "labels")
+    # Dealt out by the key of the join, which then moves no text a second time once the labels are too large to broadcast; nor
+    # does it sort any.
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    labels = table(spark, sf_dir, "labels").hint("shuffle_hash")
     rows = documents.join(labels, "doc_id", "left")
     number = F.col("doc_id").cast("string")
     id_pair = _case("source", {

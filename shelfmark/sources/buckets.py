@@ -12,6 +12,7 @@ from ..scratch import write_through
 from .paths import path_exists, write_text
 
 BUCKET = "bucket"
+COMPRESSION = "zstd"  # of the rows, which are mostly text and written several times in a run
 STATS = T.StructType([T.StructField("rows", T.LongType()), T.StructField("digest", T.DecimalType(38, 0)),
                       T.StructField(BUCKET, T.IntegerType())])
 
@@ -91,12 +92,12 @@ class BucketTable:
         if not touched:
             return 0
         before = self._rows().filter(F.col(BUCKET).isin(touched)).select(*self.schema.fieldNames())
-        after = write_through(apply_changes(before, changes, self.key), f"{scratch}/touched")
+        after = write_through(apply_changes(before, changes, self.key), f"{scratch}/touched", compression=COMPRESSION)
         self._write(after, n)
         self._keep(self._counted(after, n))
         return len(touched)
 
     def _write(self, rows: DataFrame, n: int) -> None:
         # A file per bucket, unless Spark's own splitting of large partitions makes more.
-        (rows.withColumn(BUCKET, self._bucket(n)).repartition(BUCKET).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(f"{self.path}/rows"))
+        (rows.withColumn(BUCKET, self._bucket(n)).hint("rebalance", F.col(BUCKET)).write.mode("overwrite")
+         .options(partitionOverwriteMode="dynamic", compression=COMPRESSION).partitionBy(BUCKET).parquet(f"{self.path}/rows"))

@@ -36,9 +36,9 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out evenly before heavy per-row work, whatever files they came in."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a scan out evenly, or by `keys`, before heavy per-row work, whatever files they came in."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def read_appended(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -8,7 +8,9 @@ from shelfmark.config import JobConfig
 from shelfmark.plans import gold_job
 from shelfmark.plans.gold_job import run_gold, run_search
 from shelfmark.plans.silver_job import refined_table, run_silver, table_feed
+from shelfmark.queries.tables import catalogue
 from shelfmark.schemas import RUN_METRICS
+from shelfmark.sources.buckets import BucketTable
 
 
 @pytest.fixture
@@ -84,3 +86,32 @@ def test_the_index_follows_the_feed(spark, config, monkeypatch):
     queries = spark.createDataFrame([(1, "story 21 of the valley")], "query_id long, text string")
     assert run_search(spark, config, queries, k=20).select("id").distinct().count() == 12
     assert feed.forget(["exact"]) == 2 and feed.last() == 2
+
+
+def test_the_catalogue_moves_each_text_once_however_many_labels(spark, tmp_path):
+    texts = [(i, f"word{i} and more", "en", "src1", 20) for i in [*range(20), 3]] + [(None, "no id", "en", "src1", 5)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in [*range(5), 4, None]], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = catalogue(spark, str(tmp_path))
+        plan = rows._sc._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "simple")
+        got = sorted((str(r["doc_id"]), '"idMal":1' in r["payload"]) for r in rows.where("payload is not null").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2 and "Sort" not in plan  # the texts, and the labels
+    assert got == sorted((str(i), i < 5) for i in [*range(20), 3, 4])
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    table = BucketTable(spark, f"{tmp_path}/table", rows.schema, buckets=1)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        table._write(rows.repartition(8), 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(f"{tmp_path}/table/rows")
+    assert written.count() == 20_000 and len(written.inputFiles()) > 2
