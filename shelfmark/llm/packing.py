@@ -16,25 +16,30 @@ import os
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfmark.functions.udfs import once
 from shelfmark.scratch import staged
 
-from .common import documents_of
+from .common import documents_of, return_freed_memory
 from .tokens import WordTable, once_per_worker, packed_ids, tokenizer_path
 
 TOKENIZER, CAPACITY, END_ID = "word_bpe_49k.json", 4096, 1
 PIECE = "piece int, start long, length int, ids_crc32 long"
+TEXT_AT_ONCE = 2 << 20  # bytes of text encoded together: more would share more parts and hold more memory
+PART_END = b"\xff" * 4  # no id
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
-#: Latin letters and common punctuation: composed already, and their small letters are among them.
-_PLAIN = [chr(c) for c in (*range(0x130), *range(0x131, 0x180), *range(0x2010, 0x2028), 0x20AC)]
+#: Latin letters and common punctuation: composed already, and their small letters are among them. Not 1C to 1F, which are white
+#: space to Python's patterns alone.
+_PLAIN = [chr(c) for c in (*range(0x1C), *range(0x20, 0x130), *range(0x131, 0x180), *range(0x2010, 0x2028), 0x20AC)]
 _is_plain = re.compile(f"[{re.escape(''.join(_PLAIN))}]*").fullmatch
 
 
@@ -46,8 +51,8 @@ class WordCoder:
     """Encodes as the tokenizer does, each distinct word once.
 
     The tokenizer composes characters, turns white space to blanks, makes small letters, cuts the text by a pattern and
-    merges within what the pattern found. Texts in Latin letters are cut here by the same pattern; others at white space,
-    which no match of the pattern holds, and each part goes through the whole tokenizer.
+    merges within what the pattern found. No match of the pattern holds white space, so texts are first cut there. Distinct parts
+    of texts in Latin letters are cut here by the same pattern; those of others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -59,7 +64,7 @@ class WordCoder:
         if (split["type"], split["invert"], level["type"]) != ("Split", True, "ByteLevel"):
             raise ValueError(f"{path}: not a tokenizer of words found by a pattern")
         pattern = split["pattern"]["Regex"].replace(r"\p{L}", _class("L")).replace(r"\p{N}", _class("N"))
-        self.cut = re.compile(pattern).findall
+        self.cut = re.compile(f"{pattern}|\n").findall
         bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {ord(c): bytes_of.pre_tokenize_str(c)[0][0] for c in _PLAIN}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -67,34 +72,68 @@ class WordCoder:
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
         for word in words:
-            yield packed_ids([t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))])
+            yield PART_END if word == "\n" else packed_ids([t.id for t in self.tokenizer.model.tokenize(word.translate(self.letters))])
 
     def _parts(self, parts: list[bytes]) -> Iterator[bytes]:
         for coded in self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False):
             yield packed_ids(coded.ids)
 
+    def _plain_ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts in Latin letters: each distinct part is encoded once, then the parts are put in their places."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        parts = split.flatten().dictionary_encode()
+        one = pa.ListArray.from_arrays([0, len(parts.dictionary)], parts.dictionary)
+        words = self.cut(pc.binary_join(one, "\n")[0].as_py() + "\n")
+        ids = np.frombuffer(b"".join(self.words.of(words)), "<u4")
+        ends = np.flatnonzero(ids == 0xFFFFFFFF).astype(np.int32)
+        starts, which = np.r_[np.int32(0), ends + np.int32(1)][:-1], parts.indices.to_numpy()
+        length = (ends - starts)[which]
+        edges = np.r_[np.int32(0), np.cumsum(length, dtype=np.int32)]
+        found = ids[np.repeat(starts[which] - edges[:-1], length) + np.arange(edges[-1], dtype=np.int32)]
+        edges = edges[split.offsets.to_numpy()].tolist()
+        return [found[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+
+    def ids_of(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit integers."""
+        waiting, plain, size = [], [], 0  # for each text its ids, or None for the next one of `plain`
+
+        def ready() -> Iterator[bytes]:
+            coded = iter(self._plain_ids(plain))
+            return (next(coded) if ids is None else ids for ids in waiting)
+
+        for text in texts:
+            letters = text.decode("utf-8", "replace")
+            is_plain = _is_plain(letters) and not any(s in letters for s in self.special)
+            waiting.append(None if is_plain else b"".join(self.parts.of(letters.encode().split())))
+            if is_plain:
+                plain.append(letters.lower())
+            size += len(text)
+            if size >= TEXT_AT_ONCE:
+                yield from ready()
+                waiting, plain, size = [], [], 0
+        yield from ready()
+
     def ids(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        plain = text.decode("utf-8", "replace")
-        if _is_plain(plain) and not any(s in plain for s in self.special):
-            return b"".join(self.words.of(self.cut(plain.lower())))
-        return b"".join(self.parts.of(plain.encode().split()))
+        return next(self.ids_of([text]))
 
 
-def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID,
+                 with_ids: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, ids (binary): each document's ids and `end_id`, cut after every `capacity`.
 
+    Without `with_ids` the ids stay in the worker that made them: the column is null.
     """
     end = np.asarray([end_id], "<u4").tobytes()
 
     def cut(texts: pd.Series) -> pd.Series:
         coder = once_per_worker(("words", tokenizer), lambda: WordCoder(tokenizer_path(tokenizer)))
         found = []
-        for text in texts:
-            ids = coder.ids(text) + end
+        for ids in coder.ids_of(texts):
+            ids += end
             parts = [ids[i:i + 4 * capacity] for i in range(0, len(ids), 4 * capacity)]
-            found.append([{"piece": k, "start": k * capacity, "length": len(p) // 4, "ids_crc32": zlib.crc32(p), "ids": p}
+            found.append([{"piece": k, "start": k * capacity, "length": len(p) // 4, "ids_crc32": zlib.crc32(p), "ids": p if with_ids else None}
                           for k, p in enumerate(parts)])
+        return_freed_memory()
         return pd.Series(found)
 
     pieces = once(F.pandas_udf(cut, f"array<struct<{PIECE.replace(' ', ':').replace(',:', ',')},ids:binary>>"))
@@ -295,7 +334,7 @@ def packed_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int
     A null text counts as empty and is one piece of one token, the end id. Ids themselves are not shuffled;
     `sequences` gathers them. Null doc_ids stay null, other columns are ignored.
     """
-    pieces = token_pieces(docs, tokenizer, capacity).drop("ids")
+    pieces = token_pieces(docs, tokenizer, capacity, with_ids=False).drop("ids")
     return pack(staged(pieces), capacity).withColumn("length", F.col("length").cast("long"))
 
 

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from cases import SMALL, frame, rows
+from cases import SMALL, frame, prose, rows
 from pyspark.sql import functions as F
 
 from shelfmark.llm import packing
@@ -25,6 +25,17 @@ def test_words_are_encoded_as_the_tokenizer_does(tokenizer):
         assert np.frombuffer(coder.ids(text.encode()), "<u4").tolist() == want, text[:60]
 
 
+def test_texts_encoded_together_share_their_parts(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "TEXT_AT_ONCE", 9_000)
+    coder = packing.WordCoder(tokenizer_path(packing.TOKENIZER))
+    texts = [t or "" for _, t, *_ in rows()] + ["", "a\x1cb \x1f x\x00y", "  Ünd\x85so\xa0on ", "漢字"] + [f"{prose(2, 300)} {k}" for k in range(30)]
+    cut, inner = [], coder.cut
+    coder.cut = lambda text: cut.append(len(text)) or inner(text)
+    got = [np.frombuffer(i, "<u4").tolist() for i in coder.ids_of([t.encode() for t in texts])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 2 * sum(cut) < sum(map(len, texts))
+
+
 def test_knapsack_is_best():
     draw = np.random.default_rng(3)
     for _ in range(20):
